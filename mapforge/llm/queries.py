@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii, joined
+
+    found = find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("base", F.filter("spans", lambda s: s["base"]))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix, taken_words
 
@@ -25,6 +37,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op5_mixing": op5_mixing,
     "op6_fingerprints": op6_fingerprints,
 }

@@ -117,3 +117,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     ) if seen else spark.createDataFrame([], T.StructType([T.StructField("node", T.LongType()), T.StructField("component", T.LongType())]))
+
+
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once: inside higher-order functions Catalyst would else copy it."""
+    return F.transform(F.array(value), use)[0]
