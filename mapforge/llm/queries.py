@@ -24,6 +24,29 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_records, write_archives
+
+    return read_records(write_archives(_table(spark, sf_dir, "pages")), payloads=False).drop("payload", "url")
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import predict, profiles
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1)
+    return predict(docs, profiles(docs.where("NOT held_out"))).select("doc_id", "held_out", "lang_pred", "score")
+
+
+#: The filter's rules: host and path, and what they say.
+RULES = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
+
+
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import judge
+
+    return judge(_table(spark, sf_dir, "pages"), RULES)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix, taken_words
 
@@ -38,7 +61,18 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_warc": op2_warc,
+    "op3_langid": op3_langid,
+    "op4_urls": op4_urls,
     "op5_mixing": op5_mixing,
     "op6_fingerprints": op6_fingerprints,
 }
-ORACLES: dict[str, str] = {}
+_B32 = "translate(" + " || ".join(f"to_base(cast('0x' || substr(h, {at}, {n}) AS BIGINT), 32, {n * 4 // 5})" for at, n in ((1, 15), (16, 15), (31, 10))) + ", '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+ORACLES: dict[str, str] = {
+    "op2_warc": f"""
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_B32} AS payload_digest,
+               CASE WHEN page_id = last OR last IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = last OR last IS NULL THEN NULL ELSE last END AS refers_to
+        FROM p""",
+}

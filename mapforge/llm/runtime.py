@@ -122,3 +122,20 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 def let(value: Column, use) -> Column:
     """use(value) with value computed once: inside higher-order functions Catalyst would else copy it."""
     return F.transform(F.array(value), use)[0]
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """left with right's columns by key (null where it has none); right has a row per key and n, left's rows of that key.
+
+    Keys with more than a thousandth of all rows (fewer than a thousand, so they are broadcast) are
+    looked up on the map side; their rows are then dealt evenly in the shuffled join for all others.
+    """
+    values = [c for c in right.columns if c not in (key, n)]
+    hot = right.where(F.col(n) * 1000 > total).select(F.col(key).alias("__hot"), F.struct(*values).alias("__hot_v"))
+    rest = right.where(F.col(n) * 1000 <= total).select(F.col(key).alias("__rest"), F.struct(*values).alias("__rest_v"))
+    rows = left.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*[c for c in left.columns if c != key]).cast("string"))
+    rows = rows.withColumn("__key", F.when(F.col("__hot").isNull(), F.col(key).cast("string")).otherwise(spread))
+    rows = rows.join(rest.withColumn("__rest", F.col("__rest").cast("string")), F.col("__key") == F.col("__rest"), "left")
+    rows = rows.withColumn("__v", F.coalesce("__hot_v", "__rest_v"))
+    return rows.select(*left.columns, *[F.col(f"__v.{c}").alias(c) for c in values])
