@@ -59,6 +59,18 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vectors import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_warc": op2_warc,
@@ -66,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_urls": op4_urls,
     "op5_mixing": op5_mixing,
     "op6_fingerprints": op6_fingerprints,
+    "op7_vectors": op7_vectors,
+    "op10_packing": op10_packing,
 }
 _B32 = "translate(" + " || ".join(f"to_base(cast('0x' || substr(h, {at}, {n}) AS BIGINT), 32, {n * 4 // 5})" for at, n in ((1, 15), (16, 15), (31, 10))) + ", '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
 ORACLES: dict[str, str] = {
