@@ -65,6 +65,18 @@ def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_copies
+
+    return near_copies(_table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import without_repeats
+
+    return without_repeats(_table(spark, sf_dir, "documents"), window=35).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -79,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_fingerprints": op6_fingerprints,
     "op7_vectors": op7_vectors,
+    "op8_jaccard": op8_jaccard,
+    "op9_repeats": op9_repeats,
     "op10_packing": op10_packing,
 }
 _B32 = "translate(" + " || ".join(f"to_base(cast('0x' || substr(h, {at}, {n}) AS BIGINT), 32, {n * 4 // 5})" for at, n in ((1, 15), (16, 15), (31, 10))) + ", '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
