@@ -10,8 +10,9 @@ their words are removed.
 
 Which windows repeat is judged on the whole input. Work grows with the text: occurrences are never
 paired, the counts of anchors and windows are aggregated before the shuffle, and those of very common
-ones are looked up apart. A bitmap of fixed size spares the second scan most windows whose anchor has
-one reach; it changes no result.
+ones are looked up apart. A bitmap of fixed size spares the second scan most windows that need no search;
+it changes no result. Occurrences of an anchor with one reach between them are alike in all
+their windows, so one of them stands for all in that search.
 
 Defined results: a null text has no words; words are compared unchanged; rows equal in doc_id and text
 are each other's repeats; very long texts are hashed in pieces; no rows give no rows; other columns are ignored.
@@ -30,6 +31,7 @@ from .runtime import lookup, written
 from .textkit import BITS, Words, _power, bitmap, mix, runs, slices
 
 SEED = 8
+SPREAD = 2654435761
 
 
 def _anchored(texts: pa.Array, window: int, seed: int):
@@ -83,26 +85,33 @@ def repeated(documents: DataFrame, window: int = 35, seed: int = SEED) -> DataFr
     found = written(docs.mapInArrow(anchors, "k long, first int, last int, anchor long, reach long"), "anchors")
     again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("lo"), F.max("reach").alias("hi")).where("n > 1")
     again = written(again.select("anchor", "n", (F.col("lo") == F.col("hi")).alias("one")), "anchors-again")
-    same = lookup(found.select("k", "first", "last", "anchor"), again.where("one"), "anchor", "n", found.count()).where("one").select("k", "first", "last")
-
-    mixed = bitmap(again.where("NOT one").select(F.pmod("anchor", F.lit(BITS)).alias("cell")))
-    shared = documents.sparkSession.sparkContext.broadcast(np.packbits(mixed))
+    occurrences = lookup(found, again, "anchor", "n", found.count()).where("one IS NOT NULL")
+    occurrences = written(occurrences.select("k", "first", "last", "anchor", "reach", "one"), "occurrences")
+    same = occurrences.where("one").select("k", "first", "last")
+    mixed = occurrences.where("NOT one")
+    by_reach = written(mixed.groupBy(F.xxhash64("anchor", "reach").alias("r")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "first")).alias("only")), "reaches")
+    many = lookup(mixed.select("k", "first", "last", F.xxhash64("anchor", "reach").alias("r")), by_reach.where("n > 1").select("r", "n", F.lit(True).alias("many")), "r", "n", mixed.count())
+    same = same.unionByName(many.where("many").select("k", "first", "last"))
+    # One occurrence of each reach stands for all in the search window by window.
+    cell = F.col("only.k").bitwiseXOR(F.col("only.first").cast("long") * SPREAD)
+    chosen = bitmap(by_reach.select(F.pmod(cell, F.lit(BITS)).alias("cell")))
+    shared = documents.sparkSession.sparkContext.broadcast(np.packbits(chosen))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = np.unpackbits(shared.value).astype(bool)
         for piece in slices(batches, "text"):
-            text, first, last, anchor, _, words, hashes = _anchored(piece.column(0), window, seed)
+            text, first, last, _, _, words, hashes = _anchored(piece.column(0), window, seed)
             if not len(text):
                 continue
-            chosen = np.flatnonzero(hit[(anchor & np.uint64(BITS - 1)).astype(np.int64)])
+            keys = piece.column(1).to_numpy()
+            chosen = np.flatnonzero(hit[(keys[text] ^ (first * SPREAD)) & (BITS - 1)])
             if not len(chosen):
                 continue
             text, first, last = text[chosen], first[chosen], last[chosen]
             n = last - first + 1
             row = np.repeat(np.arange(len(n)), n)
             at = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            keys = piece.column(1).to_numpy()[text[row]]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(at, type=i32), pa.array(hashes[at + words.first[text[row]]].astype(np.int64))], names=["k", "first", "window"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[text[row]]), pa.array(at, type=i32), pa.array(hashes[at + words.first[text[row]]].astype(np.int64))], names=["k", "first", "window"])
 
     single = written(docs.mapInArrow(windows, "k long, first int, window long"), "windows")
     twice = written(single.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("again", F.lit(True)), "windows-again")
