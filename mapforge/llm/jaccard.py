@@ -13,7 +13,9 @@ the input). They steer costs only: any order and any l gives the same links.
 Only components are asked for, so documents of equal sets are one node, and pairs that are already
 connected are not verified again. Candidates of a shingle's list are compared to one representative
 first and lists are looked at again only where they hold more than one component; so a group of
-thousands of near copies costs in proportion to its size. No candidate is dropped.
+thousands of near copies costs in proportion to its size. What is left of long lists (near copies that
+are not near enough) is compared in blocks that yield links to one root, never pairs; what is left of
+short lists is compared pair by pair. No candidate is dropped.
 
 Defined results: a null text or one without words has an empty set and links with nothing; fewer than
 ``k`` words are one shingle; rows with one doc_id and unequal texts are told apart but share that id's
@@ -26,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,8 @@ from .textkit import BITS, Words, bitmap, mix, runs, slices
 
 CELL_BITS, CHUNK_BITS = 20, 10
 _MOST_L = 6
+#: Lists with more entries are compared in blocks of about BLOCK a side, shorter ones pair by pair.
+LONG, BLOCK = 64, 512
 
 
 def _shingles(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -157,6 +162,42 @@ def _sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return found.join(wanted.select("node").distinct(), "node", "left_semi")
 
 
+def _stars(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between the two blocks of a task (or within its one) as (node, root of its component there)."""
+    pdf = pdf.sort_values("node", ignore_index=True)
+    lo, hi = int(pdf["lo"][0]), int(pdf["hi"][0])
+    block, ids, found = pdf["b"].to_numpy(), pdf["node"].to_numpy(), pdf["set"].tolist()
+    a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    sizes = np.array([len(x) for x in found])
+    row = np.repeat(np.arange(len(ids)), sizes)
+    tokens = np.concatenate(found) if len(found) else np.zeros(0, dtype=np.int64)
+    _, token, often = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = often[token] > 1
+    row, token = row[shared], np.unique(token[shared], return_inverse=True)[1]
+    order = np.argsort(token, kind="stable")
+    row, token = row[order], token[order]
+    common = np.zeros((len(a), len(b)), dtype=np.float32)
+    width = 4096
+    for at in range(0, int(token[-1]) + 1 if len(token) else 0, width):  # the sets as 0/1 columns, some at a time
+        i, j = np.searchsorted(token, [at, at + width])
+        there = np.zeros((len(ids), width), dtype=np.float32)
+        there[row[i:j], token[i:j] - at] = 1
+        common += there[a] @ there[b].T
+    common = common.astype(np.int64)
+    near = 100 * common >= percent * (sizes[a][:, None] + sizes[b][None, :] - common)
+    root = np.arange(len(ids))
+    while len(a) and len(b):
+        new = root.copy()
+        np.minimum.at(new, a, np.where(near, root[b][None, :], len(ids)).min(axis=1))
+        np.minimum.at(new, b, np.where(near, root[a][:, None], len(ids)).min(axis=0))
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    linked = np.flatnonzero(root != np.arange(len(ids)))
+    return pd.DataFrame({"a": ids[linked], "b": ids[root[linked]]})
+
+
 def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n, node, component_id) of (doc_id, text): linked if 100 * intersection >= percent * union."""
     docs = documents.select("doc_id", "text")
@@ -184,19 +225,23 @@ def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFr
         p = part.select(F.col("node").alias("__p"), F.col("component").alias("__c"))
         return df.join(p, F.col(node) == F.col("__p"), "left").withColumn(name, F.coalesce("__c", node)).drop("__p", "__c")
 
+    def fetch(nodes: DataFrame) -> None:
+        """Add to sets those of nodes that aren't there yet."""
+        nonlocal sets
+        missing = nodes if sets is None else nodes.join(sets.select("node"), "node", "left_anti")
+        wanted = written(missing.join(some.select("node", "doc_id"), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
+        if sets is None or not wanted.isEmpty():
+            new = written(_sets(docs, wanted, k).dropDuplicates(["node"]), "jaccard-sets")
+            sets = new if sets is None else sets.unionByName(new)
+
     def verify(pairs: DataFrame) -> None:
         """Add the links among pairs (a, b) to edges and components."""
-        nonlocal edges, part, tried, sets
+        nonlocal edges, part, tried
         pairs = written(pairs, "jaccard-pairs")
         if pairs.isEmpty():
             return
         tried = pairs if tried is None else tried.unionByName(pairs)
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        missing = ends if sets is None else ends.join(sets.select("node"), "node", "left_anti")
-        wanted = written(missing.join(some.select("node", "doc_id"), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
-        if not wanted.isEmpty():
-            new = written(_sets(docs, wanted, k).dropDuplicates(["node"]), "jaccard-sets")
-            sets = new if sets is None else sets.unionByName(new)
+        fetch(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
         left = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
         right = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
         both = pairs.join(right, "b").join(left, "a")
@@ -223,25 +268,50 @@ def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFr
         rest = with_part(with_part(rest, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b")
         verify(rest)
 
-    entries = post.count()
-    while True:
-        current = with_part(post, "node", "part")
+    def in_blocks(lists: DataFrame, current: DataFrame) -> None:
+        """Add the links among all members of lists (shingle, m), compared in blocks that give stars, never pairs."""
+        nonlocal edges, part
+        members = written(current.join(lists.select("shingle", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "shingle"), "jaccard-members")
+        fetch(members.select("node").distinct())
+        dealt = members.withColumn("b", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        tasks = dealt.select("node", "shingle", "b", F.least("b", "other").alias("lo"), F.greatest("b", "other").alias("hi")).join(sets, "node")
+        found = written(tasks.groupBy("shingle", "lo", "hi").applyInPandas(lambda pdf: _stars(pdf, percent), "a long, b long").distinct(), "jaccard-links")
+        edges = found if edges is None else edges.unionByName(found)
+        part = connected_components(edges, "a", "b")
+
+    def open_lists() -> tuple[DataFrame, DataFrame, float]:
+        """Entries with their parts, the lists with more than one, and how many pairs of theirs cross."""
+        current = written(with_part(post, "node", "part"), "jaccard-current")
         state = current.groupBy("shingle", "part").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("first"))
         state = state.groupBy("shingle").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("mm"), F.count(F.lit(1)).alias("parts"), F.min("first").alias("rep")).where("parts > 1")
         state = written(state, "jaccard-open")
-        crossing = state.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs")).first()["pairs"]
-        if not crossing:
-            break
-        current = written(current.join(state.select("shingle", "rep"), "shingle"), "jaccard-current")
-        if part is not None and crossing <= 4 * entries:
-            x = current.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("part").alias("ca"))
-            y = current.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("part").alias("cb"))
-            process(x.join(y, "shingle").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike(F.col("na"), F.col("nb"))))
-            break
-        # One representative a list against all others of other components; then it has met all and leaves the list.
-        reps = current.where("node = rep").select("shingle", F.col("n").alias("nr"), F.col("part").alias("cr"))
-        process(current.join(reps, "shingle").where((F.col("node") != F.col("rep")) & (F.col("part") != F.col("cr")) & alike(F.col("n"), F.col("nr"))).select(F.col("rep").alias("a"), F.col("node").alias("b")))
-        post = written(current.where("node != rep").select("node", "shingle", "n"), "jaccard-lists")
+        return current, state, state.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs")).first()["pairs"] or 0
+
+    # 1. In each list one representative against all others.
+    reps = post.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("rep")).select("shingle", F.col("rep.node").alias("rep"), F.col("rep.n").alias("nr"))
+    process(post.join(reps, "shingle").where((F.col("node") != F.col("rep")) & alike(F.col("n"), F.col("nr"))).select(F.col("rep").alias("a"), F.col("node").alias("b")))
+    # 2. Long lists that still hold several components, in blocks: first those that are some node's longest.
+    current, state, crossing = open_lists()
+    long = state.where(F.col("m") > LONG)
+    if crossing and not long.isEmpty():
+        entries = current.join(long.select("shingle", "m"), "shingle")
+        home = written(entries.groupBy("node").agg(F.max(F.struct("m", "shingle")).alias("h")).select("node", F.col("h.shingle").alias("home"), F.col("h.m").alias("m")), "jaccard-homes")
+        in_blocks(home.select(F.col("home").alias("shingle"), "m").distinct(), current.select("node", "shingle"))
+        # Members of one home have met. Where a long list holds several homes besides several components, it is done as well.
+        current, state, crossing = open_lists()
+        left = current.join(state.where(F.col("m") > LONG).select("shingle", "m"), "shingle").join(home.select("node", "home"), "node", "left")
+        left = written(left.groupBy("shingle").agg(F.max("m").alias("m"), F.min("home").alias("lo"), F.max("home").alias("hi"), F.count("home").alias("homes")).where("lo < hi OR homes < m").select("shingle", "m"), "jaccard-left")
+        done = home.select(F.col("home").alias("shingle")).distinct()
+        left = left.join(done, "shingle", "left_anti")
+        if not left.isEmpty():
+            in_blocks(left, current.select("node", "shingle"))
+    # 3. All pairs across components in the short lists, at most LONG / 2 an entry.
+    current, state, crossing = open_lists()
+    if crossing:
+        rest = written(current.join(state.where(F.col("m") <= LONG).select("shingle"), "shingle"), "jaccard-rest")
+        x = rest.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("part").alias("ca"))
+        y = rest.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("part").alias("cb"))
+        process(x.join(y, "shingle").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike(F.col("na"), F.col("nb"))))
 
     named = with_part(some.groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")), "node", "part")
     least = named.groupBy("part").agg(F.min("first").alias("component_id"))
