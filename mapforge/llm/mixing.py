@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import ranked, written
+from .runtime import let, ranked, with_text, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["doc_id", "source", "size", "text_hash"]
@@ -78,9 +78,6 @@ def hypergeometric(population: Column, marked: Column, draws: Column, u: Column)
         span = F.ceil(sd * 10).cast("double") + 10
         return F.struct(N.alias("balls"), K.alias("marked"), n.alias("draws"), a["u"].alias("u"), mode.alias("mode"), F.greatest(lo, mode - span).alias("a"), F.least(hi, mode + span).alias("b"))
 
-    def let(value: Column, f) -> Column:
-        return F.transform(F.array(value), f)[0]
-
     def drawn(q: Column) -> Column:
         N, K, n, mode = q["balls"], q["marked"], q["draws"], q["mode"]
         rest = N - K - n
@@ -213,21 +210,17 @@ def mixed_documents(documents: DataFrame, block_words: int = 256, **options) ->
     """
     key = [*KEY, "rep"]
     mixed = mix(documents, block_words=block_words, **options)
-    picks = mixed.blocks.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("copy", "block"))).alias("__picks"))
-    picks = picks.groupBy(*KEY).agg(F.collect_list("__picks").alias("__picks")).withColumnsRenamed({k: f"__k_{k}" for k in KEY})
+    picks = mixed.blocks.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("copy", "block"))).alias("picks"))
+    picks = picks.groupBy(*KEY).agg(F.collect_list("picks").alias("picks")).withColumnsRenamed({k: f"k_{k}" for k in KEY})
     text = F.coalesce("text", F.lit(""))
-    rows = documents.withColumns({"__size": F.regexp_count(text, F.lit(WORD)).cast("long"), "__hash": F.xxhash64("text")})
-    same = F.col("doc_id").eqNullSafe(F.col("__k_doc_id")) & F.col("source").eqNullSafe(F.col("__k_source")) & (F.col("__size") == F.col("__k_size")) & (F.col("__hash") == F.col("__k_text_hash"))
-    number = Window.partitionBy("__k_doc_id", "__k_source", "__k_size", "__k_text_hash").orderBy(F.lit(1))
-    repeated = rows.join(picks, same)
-    some = repeated.where(F.size("__picks") == 1).withColumn("__mine", F.col("__picks")[0])
-    several = repeated.where(F.size("__picks") > 1).withColumn("__n", F.row_number().over(number)).where(F.col("__n") <= F.size("__picks")).withColumn("__mine", F.get("__picks", F.col("__n") - 1)).drop("__n")
-    out = some.unionByName(several)
-    n = F.ceil(F.col("__size") / block_words)
-    whole = (F.size("__mine") == n) & (F.element_at("__mine", -1)["copy"] == 0)
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    cut = F.transform(F.array(words), lambda w: F.array_join(F.transform(F.col("__mine"), lambda p: F.array_join(F.slice(w, (p["block"] * block_words + 1).cast("int"), F.lit(block_words)), " ")), " "))[0]
-    out = out.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
-    if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*documents.columns)
+    rows = documents.select(F.struct("*").alias("row"), "text", "doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64("text").alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("k_doc_id")) & F.col("source").eqNullSafe(F.col("k_source")) & (F.col("size") == F.col("k_size")) & (F.col("text_hash") == F.col("k_text_hash"))
+    met = rows.join(picks, same)
+    # Rows equal in all of the key: each takes the blocks of another of them.
+    number = Window.partitionBy("k_doc_id", "k_source", "k_size", "k_text_hash").orderBy(F.lit(1))
+    one = met.where(F.size("picks") == 1).withColumn("mine", F.col("picks")[0])
+    several = met.where(F.size("picks") > 1).withColumn("number", F.row_number().over(number)).where(F.col("number") <= F.size("picks"))
+    out = one.unionByName(several.withColumn("mine", F.get("picks", F.col("number") - 1)).drop("number"))
+    whole = (F.size("mine") == F.ceil(F.col("size") / block_words)) & (F.element_at("mine", -1)["copy"] == 0)
+    cut = let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.array_join(F.transform("mine", lambda p: F.array_join(F.slice(w, (p["block"] * block_words + 1).cast("int"), F.lit(block_words)), " ")), " "))
+    return with_text(out.select("row", F.when(whole, F.col("text")).otherwise(cut).alias("text")), documents.columns)

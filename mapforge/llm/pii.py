@@ -204,13 +204,14 @@ def classifier(spans: DataFrame) -> tuple[float, dict[str, float]]:
     return math.log(yes / no), {f: math.log((a + 1.0) / (yes + 2.0)) - math.log((b + 1.0) / (no + 2.0)) for f, (a, b) in table.items()}
 
 
-def find_pii(documents: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """documents with ``spans``: array<struct(kind, start, end, base)> ordered by start, then kind as in KINDS.
+def find_pii(documents: DataFrame, threshold: float = 0.9, keep_text: bool = True) -> DataFrame:
+    """documents (without text, if that isn't kept) with ``spans``: array<struct(kind, start, end, base)> ordered by start, then kind as in KINDS.
 
     The candidates of all documents are written to the scratch folder (a few numbers a span), from which
     the labelers' reliabilities are estimated and the result is read.
     """
-    kept = written(candidates(documents), "pii-candidates")
+    found = candidates(documents)
+    kept = written(found if keep_text else found.drop("text"), "pii-candidates")
     start, weights = classifier(kept.select(F.inline("__spans")))
     known = F.from_json(F.lit(json.dumps(weights)), "map<string,double>")
     odds = lambda s: F.aggregate(_features(s), F.lit(float(start)), lambda t, f: t + F.coalesce(F.try_element_at(known, f), F.lit(0.0)))

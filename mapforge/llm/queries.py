@@ -15,7 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import find_pii, joined
 
-    found = find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("base", F.filter("spans", lambda s: s["base"]))
+    found = find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False).withColumn("base", F.filter("spans", lambda s: s["base"]))
 
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

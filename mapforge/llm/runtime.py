@@ -139,3 +139,9 @@ def lookup(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> D
     rows = rows.join(rest.withColumn("__rest", F.col("__rest").cast("string")), F.col("__key") == F.col("__rest"), "left")
     rows = rows.withColumn("__v", F.coalesce("__hot_v", "__rest_v"))
     return rows.select(*left.columns, *[F.col(f"__v.{c}").alias(c) for c in values])
+
+
+def with_text(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents in column row with their text replaced by column text, and n_chars (if they have it) counted anew."""
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return rows.select(*[(new[c] if c in new else F.col("row").getField(c)).alias(c) for c in columns])
