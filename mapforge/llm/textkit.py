@@ -99,7 +99,7 @@ def runs(words: np.ndarray, k: int) -> np.ndarray:
     return mix((sums[k:] - sums[:-k]) * down[:n] + np.uint64(k))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Batches of some ``most`` bytes of text, so that the arrays built from one stay small; a longer text comes alone."""
     for batch in batches:
         text = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string())
