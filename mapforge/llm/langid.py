@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .textkit import release
+
 SIZE = 300
 _PIECE = 1 << 18
 _BLANK = 1
@@ -117,6 +119,7 @@ def profiles(documents: DataFrame, size: int = SIZE) -> dict[str, list[int]]:
                 yield from give()
         add()
         yield from give()
+        release()
 
     counted = documents.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang").mapInArrow(count, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))

@@ -43,7 +43,13 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """df as a table in the shared scratch folder: computed once, and its lineage ends there."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.parquet(path)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "512")  # whole texts: smaller Arrow batches on both sides of the Python workers
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(name, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
