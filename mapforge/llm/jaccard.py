@@ -26,9 +26,9 @@ one; very long texts are hashed in pieces; no rows give no rows; other columns a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,9 @@ from pyspark.sql.window import Window
 from .runtime import connected_components, lookup, written
 from .textkit import BITS, Words, bitmap, mix, runs, slices
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 CELL_BITS, CHUNK_BITS = 20, 10
 _MOST_L = 6
 #: Lists with more entries are compared in blocks of about BLOCK a side, shorter ones pair by pair.
@@ -195,6 +198,8 @@ def _stars(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
             break
         root = new
     linked = np.flatnonzero(root != np.arange(len(ids)))
+    import pandas as pd
+
     return pd.DataFrame({"a": ids[linked], "b": ids[root[linked]]})
 
 

@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +36,7 @@ _letters: dict[str, np.ndarray] = {}
 def _table() -> np.ndarray:
     """Code point to lower-case letter, 1 for all others; made on first use of each process."""
     if "t" not in _letters:
-        t = np.full(0x110000, _BLANK, dtype=np.int64)
+        t = np.full(0x110000, _BLANK, dtype=np.int32)
         for c in range(0x110000):
             ch = chr(c)
             if ch.isalpha():
@@ -52,7 +51,7 @@ def _grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     found: tuple[np.ndarray, np.ndarray] | None = None
     last = np.full(2, _BLANK, dtype=np.int64)
     for at in range(0, len(text), _PIECE):
-        codes = _table()[np.frombuffer(text[at : at + _PIECE].encode("utf-32-le", "replace"), dtype=np.uint32)]
+        codes = _table()[np.frombuffer(text[at : at + _PIECE].encode("utf-32-le", "replace"), dtype=np.uint32)].astype(np.int64)
         codes = codes[~((codes == _BLANK) & (np.concatenate([last[-1:], codes[:-1]]) == _BLANK))]
         end = at + _PIECE >= len(text)
         c = np.concatenate([last, codes, np.full(1, _BLANK, dtype=np.int64)[: int(end)]])
@@ -111,10 +110,10 @@ def profiles(documents: DataFrame, size: int = SIZE) -> dict[str, list[int]]:
                     grams = _grams(text)
                     pending.setdefault(lang, []).append(grams)
                     waiting += len(grams[0])
-                    if waiting > 1 << 20:
+                    if waiting > 1 << 19:
                         add()
                         waiting = 0
-            if sum(len(s[0]) for s in sums.values()) > 1 << 22:
+            if sum(len(s[0]) for s in sums.values()) > 1 << 20:
                 add()
                 yield from give()
         add()
@@ -157,9 +156,13 @@ def predict(documents: DataFrame, learned: dict[str, list[int]], size: int = SIZ
     for j, p in enumerate(learned.values()):
         ranks[np.searchsorted(grams, np.array(p, dtype=np.int64)), j] = np.arange(len(p))
 
-    @F.pandas_udf("struct<lang_pred:string,score:double>")
-    def guess(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([classify(t, languages, grams, ranks, size) for t in texts], columns=["lang_pred", "score"])
+    @F.pandas_udf("struct<lang_pred:string,score:double>", F.PandasUDFType.SCALAR_ITER)
+    def guess(batches):
+        import pandas as pd
+
+        for texts in batches:
+            yield pd.DataFrame([classify(t, languages, grams, ranks, size) for t in texts], columns=["lang_pred", "score"])
+        release()
 
     return documents.withColumn("__guess", guess("text")).select(*documents.columns, "__guess.lang_pred", "__guess.score")
 

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import ranked, written
+from .textkit import release
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Characters on whose classes (letter, number, space) all regular expression engines agree.
@@ -104,29 +105,35 @@ def _parts(text: str) -> Iterator[str]:
 
 
 def _encoder(tokenizer_path: str | None, ranks_path: str | None):
-    """text -> ids, loaded once a process."""
+    """text -> ids, loaded once a task: workers that wait for other tasks hold no vocabulary."""
     key = (tokenizer_path, ranks_path)
     if key not in _loaded:
         import base64
 
         import public_tokenizers as public
         import tiktoken
-        from tokenizers import Tokenizer
 
-        exact = Tokenizer.from_file(tokenizer_path or public.path("byte_bpe_50k.json"))
-        fast = None
+        exact, fast = None, None
         if tokenizer_path is None or ranks_path is not None:
             with open(ranks_path or public.path("byte_bpe_50k.tiktoken"), "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             fast = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+        def exactly(text: str) -> list[int]:
+            nonlocal exact
+            if exact is None:  # most tasks meet no text that needs it
+                from tokenizers import Tokenizer
+
+                exact = Tokenizer.from_file(tokenizer_path or public.path("byte_bpe_50k.json"))
+            return exact.encode(text, add_special_tokens=False).ids
+
         def encode(text: str) -> array:
             ids = array("I")
             for part in _parts(text):
                 if fast is not None and not _UNCOMMON.search(part):
                     ids.extend(fast.encode_ordinary(part))
                 else:
-                    ids.extend(exact.encode(part, add_special_tokens=False).ids)
+                    ids.extend(exactly(part))
             return ids
 
         _loaded[key] = encode
@@ -156,6 +163,9 @@ def tokenised(documents: DataFrame, capacity: int, end_id: int, tokenizer_path:
                 rows += [(doc_id.as_py(), k, s, n, zlib.crc32(data[s : s + n].tobytes())) for k, (s, n) in enumerate(cut(len(ids), capacity))]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        del ids_of
+        _loaded.clear()
+        release()
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(encode, PIECES)
 

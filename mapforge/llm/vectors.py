@@ -15,15 +15,18 @@ different lengths don't link; no rows give no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import connected_components, lookup, written
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 WIDTH = 0.8  # of a quantisation step, for unit vectors
 
 
@@ -95,6 +98,8 @@ def _compare(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
             break
         root = new
     keep = links > 0
+    import pandas as pd
+
     return pd.DataFrame({"id": ids[keep], "links": links[keep], "root": ids[root[keep]]})
 
 
