@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .textkit import release
@@ -156,13 +157,16 @@ def predict(documents: DataFrame, learned: dict[str, list[int]], size: int = SIZ
     for j, p in enumerate(learned.values()):
         ranks[np.searchsorted(grams, np.array(p, dtype=np.int64)), j] = np.arange(len(p))
 
-    @F.pandas_udf("struct<lang_pred:string,score:double>", F.PandasUDFType.SCALAR_ITER)
-    def guess(batches):
-        import pandas as pd
-
-        for texts in batches:
-            yield pd.DataFrame([classify(t, languages, grams, ranks, size) for t in texts], columns=["lang_pred", "score"])
+    def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                found = [classify(t.as_py(), languages, grams, ranks, size) for t in part.column(0)]
+                columns = [*part.columns[1:], pa.array([f[0] for f in found]), pa.array([f[1] for f in found], type=pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[1:], "lang_pred", "score"])
         release()
 
-    return documents.withColumn("__guess", guess("text")).select(*documents.columns, "__guess.lang_pred", "__guess.score")
-
+    # The other columns travel as one, so that none can clash with those added.
+    row = F.struct(*documents.columns).alias("row")
+    kind = T.StructType([T.StructField("row", documents.select(row).schema["row"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return documents.select("text", row).mapInArrow(guess, kind).select("row.*", "lang_pred", "score")

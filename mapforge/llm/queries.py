@@ -34,7 +34,8 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import predict, profiles
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1)
-    return predict(docs, profiles(docs.where("NOT held_out"))).select("doc_id", "held_out", "lang_pred", "score")
+    learned = profiles(docs.where("NOT held_out"))
+    return predict(docs.select("doc_id", "text", "held_out"), learned).select("doc_id", "held_out", "lang_pred", "score")
 
 
 #: The filter's rules: host and path, and what they say.
