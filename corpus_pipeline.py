@@ -20,8 +20,8 @@ LEAST_SCORE = 0.1
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; lang becomes the one found. Those that are ``und`` or fit no profile go."""
     learned = langid.profiles(docs.select("text", "lang"))
-    found = langid.predict(docs.select(F.struct("*").alias("row"), "text"), learned).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return found.select(*[(F.col("lang_pred") if c == "lang" else F.col("row").getField(c)).alias(c) for c in docs.columns])
+    found = langid.predict(docs.select(F.struct("*").alias("document"), "text"), learned).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    return found.select(*[(F.col("lang_pred") if c == "lang" else F.col("document").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
