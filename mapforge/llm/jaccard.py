@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import connected_components, lookup, written
+from .runtime import connected_components, lookup, temporary, written
 from .textkit import BITS, Words, bitmap, mix, runs, slices
 
 if TYPE_CHECKING:
@@ -206,8 +206,15 @@ def _stars(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n, node, component_id) of (doc_id, text): linked if 100 * intersection >= percent * union."""
     docs = documents.select("doc_id", "text")
-    cells = sketch(docs, k)
-    head = written(heads(docs, k, percent, cells), "jaccard-heads")
+    head = written(heads(docs, k, percent, sketch(docs, k)), "jaccard-heads")
+    with temporary(documents.sparkSession):
+        named = _linked(docs, head, k, percent)
+    out = lookup(head.select("doc_id", "n", "node"), named, "node", "count", head.count())
+    return out.select("doc_id", "n", "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _linked(docs: DataFrame, head: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, count, component_id) of every node of head, a kept table."""
     some = head.where("n > 0")
     nodes = some.select("node", "n", "l", "prefix")
 
@@ -320,9 +327,7 @@ def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFr
 
     named = with_part(some.groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")), "node", "part")
     least = named.groupBy("part").agg(F.min("first").alias("component_id"))
-    named = written(named.join(least, "part").select("node", F.col("rows").alias("count"), "component_id"), "jaccard-components")
-    out = lookup(head.select("doc_id", "n", "node"), named, "node", "count", head.count())
-    return out.select("doc_id", "n", "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return written(named.join(least, "part").select("node", F.col("rows").alias("count"), "component_id"), "jaccard-components", keep=True)
 
 
 def near_copies(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:

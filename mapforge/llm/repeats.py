@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import lookup, written
+from .runtime import lookup, temporary, written
 from .textkit import BITS, Words, _power, bitmap, mix, runs, slices
 
 SEED = 8
@@ -72,6 +72,11 @@ def _anchored(texts: pa.Array, window: int, seed: int):
 
 def repeated(documents: DataFrame, window: int = 35, seed: int = SEED) -> DataFrame:
     """(k, first, last): ranges of repeated windows of the document with key k = xxhash64(doc_id, text)."""
+    with temporary(documents.sparkSession):
+        return written(_repeated(documents, window, seed), "repeated", keep=True)
+
+
+def _repeated(documents: DataFrame, window: int, seed: int) -> DataFrame:
     docs = documents.select("text", F.xxhash64("doc_id", "text").alias("k"))
     i64, i32 = pa.int64(), pa.int32()
 

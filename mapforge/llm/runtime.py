@@ -7,6 +7,7 @@ share, so a lost executor costs a re-run of some tasks and never a lost intermed
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 _local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,10 +41,30 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{scratch_root(spark)}/mapforge/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """df as a table in the shared scratch folder: computed once, and its lineage ends there."""
+@contextlib.contextmanager
+def temporary(spark: SparkSession):
+    """Tables written inside are deleted at the end, but for those written with keep: nothing returned may read the others."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def written(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
+    """df as a table in the shared scratch folder: computed once, and its lineage ends there.
+
+    Inside temporary() the table goes when that ends; with keep it goes with the next scope outside, if there is one.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
+    for scope in _scopes[-2:-1] if keep else _scopes[-1:]:
+        scope.append(path)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     was = spark.conf.get(name)
     spark.conf.set(name, "512")  # whole texts: smaller Arrow batches on both sides of the Python workers
@@ -103,6 +125,11 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Alternating large-star and small-star contraction. Minima are aggregated before the shuffle, so
     a hub's neighbours never meet in one group; each round is a written table. No edges: no rows.
     """
+    with temporary(edges.sparkSession):
+        return written(_components(edges, a, b), "components", keep=True)
+
+
+def _components(edges: DataFrame, a: str, b: str) -> DataFrame:
     spark = edges.sparkSession
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
     cur = written(edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "edges")
