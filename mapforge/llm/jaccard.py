@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import connected_components, lookup, temporary, written
+from .runtime import connected_components, lookup, temporary, whole_texts, written
 from .textkit import BITS, Words, bitmap, mix, runs, slices
 
 if TYPE_CHECKING:
@@ -205,6 +205,7 @@ def _stars(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n, node, component_id) of (doc_id, text): linked if 100 * intersection >= percent * union."""
+    whole_texts(documents.sparkSession)
     docs = documents.select("doc_id", "text")
     head = written(heads(docs, k, percent, sketch(docs, k)), "jaccard-heads")
     with temporary(documents.sparkSession):

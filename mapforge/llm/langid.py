@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .runtime import whole_texts
 from .textkit import release
 
 SIZE = 300
@@ -111,16 +112,17 @@ def profiles(documents: DataFrame, size: int = SIZE) -> dict[str, list[int]]:
                     grams = _grams(text)
                     pending.setdefault(lang, []).append(grams)
                     waiting += len(grams[0])
-                    if waiting > 1 << 19:
+                    if waiting > 1 << 18:
                         add()
                         waiting = 0
-            if sum(len(s[0]) for s in sums.values()) > 1 << 20:
+            if sum(len(s[0]) for s in sums.values()) > 1 << 19:
                 add()
                 yield from give()
         add()
         yield from give()
         release()
 
+    whole_texts(documents.sparkSession)
     counted = documents.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang").mapInArrow(count, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     salted = counted.withColumn("salt", F.pmod(F.xxhash64("gram"), F.lit(32)))
@@ -166,6 +168,7 @@ def predict(documents: DataFrame, learned: dict[str, list[int]], size: int = SIZ
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[1:], "lang_pred", "score"])
         release()
 
+    whole_texts(documents.sparkSession)
     # The other columns travel as one, so that none can clash with those added.
     row = F.struct(*documents.columns).alias("row")
     kind = T.StructType([T.StructField("row", documents.select(row).schema["row"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

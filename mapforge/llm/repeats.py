@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import lookup, temporary, written
+from .runtime import lookup, temporary, whole_texts, written
 from .textkit import BITS, Words, _power, bitmap, mix, runs, slices
 
 SEED = 8
@@ -126,6 +126,7 @@ def _repeated(documents: DataFrame, window: int, seed: int) -> DataFrame:
 
 def without_repeats(documents: DataFrame, window: int = 35, seed: int = SEED) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): kept is the words left, joined by one space, as UTF-8."""
+    whole_texts(documents.sparkSession)
     ranges = repeated(documents, window, seed).groupBy("k").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts")).withColumnRenamed("k", "__k")
     docs = documents.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("k"))
     docs = docs.join(ranges, F.col("k") == F.col("__k"), "left").select("text", "doc_id", "firsts", "lasts")

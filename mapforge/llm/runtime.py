@@ -41,6 +41,13 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{scratch_root(spark)}/mapforge/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
+def whole_texts(spark: SparkSession, rows: int = 512) -> None:
+    """Lower the session's Arrow batches to ``rows``: rows here are whole texts, and a batch is in memory on both sides of a Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 @contextlib.contextmanager
 def temporary(spark: SparkSession):
     """Tables written inside are deleted at the end, but for those written with keep: nothing returned may read the others."""
@@ -65,13 +72,8 @@ def written(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     path = scratch_path(spark, tag)
     for scope in _scopes[-2:-1] if keep else _scopes[-1:]:
         scope.append(path)
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(name)
-    spark.conf.set(name, "512")  # whole texts: smaller Arrow batches on both sides of the Python workers
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(name, was)
+    whole_texts(spark)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import lookup, scratch_path, shuffle_partitions, written
+from .runtime import lookup, scratch_path, shuffle_partitions, whole_texts, written
 
 INDEX = "page_id long, url string, archive string, offset long, length long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -198,6 +198,7 @@ def _reader(gap: int, most: int, payloads: bool) -> Callable[[Iterator[pa.Record
 
 def read_records(index: DataFrame, *, payloads: bool = True, gap: int = 64 << 10, most: int = 8 << 20) -> DataFrame:
     """The records of (archive, offset, length) rows; a revisit's payload is null, its refers_to names the response."""
+    whole_texts(index.sparkSession)
     wanted = index.select("archive", "offset", "length")
     wanted = wanted.repartitionByRange(shuffle_partitions(index.sparkSession), "archive", "offset").sortWithinPartitions("archive", "offset")
     return wanted.mapInArrow(_reader(gap, most, payloads), RECORD)
