@@ -134,7 +134,7 @@ def st_of_kind(g: pd.Series, kind: pd.Series) -> pd.Series:
     return _each(lambda v, k: [codec.to_wkb(p) for p in planar.of_type(v, k)], g, kind)
 
 
-@F.pandas_udf("struct<minx:double,miny:double,maxx:double,maxy:double>")
+@F.pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("minx", "miny", "maxx", "maxy")]))
 def st_bounds(g: pd.Series) -> pd.DataFrame:
     found = [planar.bounds(_parsed(x)) or (None,) * 4 for x in g]
     return pd.DataFrame(found, columns=["minx", "miny", "maxx", "maxy"], dtype=float)
