@@ -52,14 +52,15 @@ def merge_ways(copies: DataFrame, order: str) -> DataFrame:
     """(osm_id, tags, refs, partial) of ways' copies: the later copy's value of a key counts, sequences are merged.
 
     Where the copies' sequences do not hang together ``refs`` is the first and ``partial`` true; a
-    relation with such a member cannot be built. Ways with one copy, or equal copies, pass without Python.
+    relation with such a member cannot be built, nor one with a copy that was ``partial`` already. Ways with one copy, or equal copies, pass without Python.
     """
     from .elements import merge_tags
 
-    lines = copies.groupBy("osm_id").agg(F.sort_array(F.collect_list(F.struct(order, "refs"))).alias("c"))
-    lines = lines.select("osm_id", F.array_distinct(F.col("c.refs")).alias("s"))
-    one = lines.where(F.size("s") == 1).select("osm_id", F.col("s")[0].alias("refs"), F.lit(False).alias("partial"))
-    more = lines.where(F.size("s") > 1).select("osm_id", _merged("s").alias("m")).select("osm_id", F.col("m")[0].alias("refs"), (F.size("m") > 1).alias("partial"))
+    was = F.col("partial") if "partial" in copies.columns else F.lit(False)
+    lines = copies.groupBy("osm_id").agg(F.sort_array(F.collect_list(F.struct(order, "refs"))).alias("c"), F.bool_or(was).alias("was"))
+    lines = lines.select("osm_id", "was", F.array_distinct(F.col("c.refs")).alias("s"))
+    one = lines.where(F.size("s") == 1).select("osm_id", F.col("s")[0].alias("refs"), F.col("was").alias("partial"))
+    more = lines.where(F.size("s") > 1).select("osm_id", "was", _merged("s").alias("m")).select("osm_id", F.col("m")[0].alias("refs"), (F.col("was") | (F.size("m") > 1)).alias("partial"))
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     tags = merge_tags(copies, order)
     return one.unionByName(more).join(tags, "osm_id", "left").select("osm_id", F.coalesce("tags", none).alias("tags"), "refs", "partial")
