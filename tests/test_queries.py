@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from mapforge import bridge
+from mapforge import bridge, shapes
+
+QUERIES, ORACLES = bridge.QUERIES | shapes.QUERIES, bridge.ORACLES | shapes.ORACLES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -25,11 +27,11 @@ def plain(v):
     return v
 
 
-@pytest.mark.parametrize("name", list(bridge.QUERIES))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    df = bridge.QUERIES[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = df.collect()
-    rel = duck.sql(bridge.ORACLES[name])
+    rel = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
     cols = sorted(df.columns)
     key = lambda r: tuple((x is None, str(x)) for x in r)
