@@ -242,7 +242,8 @@ def _linked(docs: DataFrame, head: DataFrame, k: int, percent: int) -> DataFrame
         """Add to sets those of nodes that aren't there yet."""
         nonlocal sets
         missing = nodes if sets is None else nodes.join(sets.select("node"), "node", "left_anti")
-        wanted = written(missing.join(some.select("node", "doc_id"), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
+        # One document of each node before the join: all copies of a text share their node.
+        wanted = written(some.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(missing, "node"), "jaccard-wanted")
         if sets is None or not wanted.isEmpty():
             new = written(_sets(docs, wanted, k).dropDuplicates(["node"]), "jaccard-sets")
             sets = new if sets is None else sets.unionByName(new)
