@@ -18,8 +18,8 @@ are not near enough) is compared in blocks that yield links to one root, never p
 short lists is compared pair by pair. No candidate is dropped.
 
 Defined results: a null text or one without words has an empty set and links with nothing; fewer than
-``k`` words are one shingle; rows with one doc_id and unequal texts are told apart but share that id's
-place in components; a row with a null doc_id takes part, and a component's id is its smallest non-null
+``k`` words are one shingle; rows with one doc_id and unequal texts are told apart (by a 64-bit hash of the
+text) and each has the place of its own text, so two components may show one id; a row with a null doc_id takes part, and a component's id is its smallest non-null
 one; very long texts are hashed in pieces; no rows give no rows; other columns are ignored.
 """
 
@@ -108,21 +108,21 @@ def _least(n, percent: int):
 
 
 def heads(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> DataFrame:
-    """(doc_id, n, node, l, prefix) of every document."""
+    """(doc_id, text_hash, n, node, l, prefix) of every document."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(cells.astype(np.int64))
     noise = float(cells.sum()) / len(cells)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("l", pa.int32()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("l", pa.int32()), ("prefix", pa.list_(pa.int64()))])
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for piece in slices(batches, "text"):
             rows = []
-            for doc_id, found in zip(piece.column(1).to_pylist(), _shingles(piece.column(0), k), strict=True):
+            for doc_id, text_hash, found in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist(), _shingles(piece.column(0), k), strict=True):
                 found = np.unique(found)
                 n = len(found)
                 if not n:
-                    rows.append((doc_id, 0, None, None, None))
+                    rows.append((doc_id, text_hash, 0, None, None, None))
                     continue
                 often = np.maximum(counts[(found >> np.uint64(64 - CELL_BITS)).astype(np.int64)] - noise, 1.0)
                 order = np.lexsort((found, np.log2(often).astype(np.int64)))
@@ -132,10 +132,10 @@ def heads(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> Data
                 # Index entries met by a prefix of base + l, and verifications (n per pair) of what is met l times.
                 cost = [upto[base + i - 1] * (1 + 0.02 * n / i**2) for i in range(1, min(_MOST_L, least) + 1)]
                 l_best = int(np.argmin(cost)) + 1
-                rows.append((doc_id, n, _named(found), l_best, found[order[: base + l_best]].astype(np.int64)))
+                rows.append((doc_id, text_hash, n, _named(found), l_best, found[order[: base + l_best]].astype(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return documents.select("text", F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(head, "doc_id long, n long, node long, l int, prefix array<long>")
+    return documents.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).mapInArrow(head, "doc_id long, text_hash long, n long, node long, l int, prefix array<long>")
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -204,18 +204,21 @@ def _stars(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n, node, component_id) of (doc_id, text): linked if 100 * intersection >= percent * union."""
+    """(doc_id, text_hash, n, node, component_id, part) of (doc_id, text): linked if 100 * intersection >= percent * union.
+
+    part tells components apart, which component_id does not: ids may be null or have several texts. Empty sets have none.
+    """
     whole_texts(documents.sparkSession)
     docs = documents.select("doc_id", "text")
     head = written(heads(docs, k, percent, sketch(docs, k)), "jaccard-heads")
     with temporary(documents.sparkSession):
         named = _linked(docs, head, k, percent)
-    out = lookup(head.select("doc_id", "n", "node"), named, "node", "count", head.count())
-    return out.select("doc_id", "n", "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = lookup(head.select("doc_id", "text_hash", "n", "node"), named, "node", "count", head.count())
+    return out.select("doc_id", "text_hash", "n", "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "part")
 
 
 def _linked(docs: DataFrame, head: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, count, component_id) of every node of head, a kept table."""
+    """(node, count, component_id, part) of every node of head, a kept table."""
     some = head.where("n > 0")
     nodes = some.select("node", "n", "l", "prefix")
 
@@ -329,7 +332,7 @@ def _linked(docs: DataFrame, head: DataFrame, k: int, percent: int) -> DataFrame
 
     named = with_part(some.groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")), "node", "part")
     least = named.groupBy("part").agg(F.min("first").alias("component_id"))
-    return written(named.join(least, "part").select("node", F.col("rows").alias("count"), "component_id"), "jaccard-components", keep=True)
+    return written(named.join(least, "part").select("node", F.col("rows").alias("count"), "component_id", "part"), "jaccard-components", keep=True)
 
 
 def near_copies(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
@@ -338,10 +341,33 @@ def near_copies(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataF
 
 
 def deduplicated(documents: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
-    """documents with one row of each component: that of the smallest doc_id (of its rows, if several, any one of equal text hash)."""
-    found = components(documents, k=k, percent=percent).where("n > 0 AND NOT doc_id <=> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = documents.join(found, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
-    repeated = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__id"))
-    again = kept.join(repeated, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    first = again.withColumn("__r", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("__r = 1").drop("__r")
-    return kept.join(repeated, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").unionByName(first) if not repeated.isEmpty() else kept
+    """documents with one row of each component: that of the smallest doc_id (null last), then text hash.
+
+    Rows are told apart by doc_id and text, so an id's other texts stay in their own components, and so do
+    null ids. Empty sets stay. Rows equal in a non-null doc_id and text, empty or not, are one document.
+    """
+    key = lambda doc_id, text_hash: F.concat_ws(":", F.coalesce(doc_id.cast("long").cast("string"), F.lit("-")), text_hash.cast("string")).alias("key")
+    with temporary(documents.sparkSession):
+        placed = components(documents, k=k, percent=percent)
+        keys = written(placed.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"), F.min("part").alias("part")), "jaccard-keys")
+        first = keys.where("n > 0").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
+        first = first.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash"))
+        marks = keys.join(first, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
+        marks = marks.withColumn("gone", (F.col("n") > 0) & F.col("__hash").isNull()).where("gone OR rows > 1 AND (n > 0 OR doc_id IS NOT NULL)")
+        marks = written(marks.select(key(F.col("doc_id"), F.col("text_hash")), "rows", "gone"), "jaccard-marks", keep=True)
+        total = keys.agg(F.sum("rows")).first()[0] or 0
+    rows = documents.select(F.struct("*").alias("row"), key(F.col("doc_id"), F.xxhash64("text")))
+
+    def marked(of: DataFrame) -> list[DataFrame]:
+        """The keys of hot rows (fewer than a thousand, so they are broadcast) and of all others."""
+        return [F.broadcast(of.where(F.col("rows") * 1000 > total).select("key")), of.where(F.col("rows") * 1000 <= total).select("key")]
+
+    hot, rest = marked(marks)
+    kept = rows.join(hot, "key", "left_anti").join(rest, "key", "left_anti").select("row")
+    repeated = marks.where("NOT gone")
+    if not repeated.isEmpty():
+        hot, rest = marked(repeated)
+        again = rows.join(hot, "key", "left_semi").unionByName(rows.join(rest, "key", "left_semi"))
+        # min_by adds up before the shuffle, so many equal rows never meet in one task.
+        kept = kept.unionByName(again.groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row"))
+    return kept.select("row.*")

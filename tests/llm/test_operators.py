@@ -280,6 +280,31 @@ def test_jaccard_edges(spark, docs_of):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
 
 
+def test_deduplicated_tells_rows_apart(spark, docs_of):
+    """Null and repeated ids with unequal texts: one row of each component, all empty ones of null ids."""
+    a, b, c, d = ("a1 a2 a3 a4 a5 a6", "b1 b2 b3 b4 b5 b6", "c1 c2 c3 c4 c5 c6", "d1 d2 d3 d4 d5 d6")
+    rows = [(1, a), (None, a), (None, b), (None, b), (None, c), (2, a), (2, c), (3, d), (3, "e"), (3, "e"), (4, None), (4, ""), (None, None), (None, None), (None, "")]
+    for batch in (rows, rows[::-1]):
+        kept = jaccard.deduplicated(docs_of(batch, clash=True)).collect()
+        assert sorted([(r["doc_id"], r["text"]) for r in kept], key=str) == sorted([(1, a), (None, b), (2, c), (3, d), (3, "e"), (4, None), (4, ""), (None, None), (None, None), (None, "")], key=str)
+        assert {r["words"] for r in kept} == {5}
+    # A third of all ids null, some repeated: as many rows stay as there are components, the least of each.
+    rows = [(None if i % 3 == 0 else i // 2, t) for i, t in corpus(3)]
+    texts = dict(enumerate(t for _, t in rows))
+    least = {i: root for i, _, root in linked_by_hand(list(texts.items()), 5, 80)}
+    groups = collections.defaultdict(list)
+    for i, (doc_id, text) in enumerate(rows):
+        groups[least[i]].append((doc_id, text))
+    empty = lambda t: not WORD.findall(t or "")
+    kept = collections.Counter((r["doc_id"], r["text"]) for r in jaccard.deduplicated(docs_of(rows)).collect())
+    assert all(kept[r] for r in rows if empty(r[1]))
+    for group in (g for g in groups.values() if not empty(g[0][1])):
+        left = [r for r in set(group) if kept[r]]
+        assert len(left) == kept[left[0]] == 1
+        assert left[0][0] == min((r[0] for r in group if r[0] is not None), default=None)
+    assert jaccard.deduplicated(docs_of([])).count() == 0
+
+
 # -- 9 repeats
 @pytest.mark.parametrize("window", [35, 9])
 def test_repeats(spark, docs_of, window):
