@@ -153,16 +153,16 @@ def base_tables(e: Elements, m: MappingSet, o: Options = Options()) -> dict[str,
     return out
 
 
+def _mended(df: DataFrame, name: str, m: MappingSet) -> DataFrame:
+    """df, repaired if a Repair names it."""
+    return derived.repaired(df) if any(r.origin == name for r in m.repairs) else df
+
+
 def derived_tables(tables: dict[str, DataFrame], m: MappingSet) -> dict[str, DataFrame]:
-    """Generalized tables of these, with repaired polygons where declared."""
-    out = dict(tables)
+    """These and their generalized tables, with repaired polygons where declared; what is made of a repaired table has its repaired polygons."""
+    out = {name: _mended(df, name, m) for name, df in tables.items()}
     for g in derived.in_order([g for g in m.generalized], tables):
-        out[g.name] = derived.generalized(out[g.origin], g.tolerance, g.where)
-        if any(r.origin == g.name for r in m.repairs):
-            out[g.name] = derived.repaired(out[g.name])
-    for r in m.repairs:
-        if r.origin in tables:
-            out[r.origin] = derived.repaired(out[r.origin])
+        out[g.name] = _mended(derived.generalized(out[g.origin], g.tolerance, g.where), g.name, m)
     return out
 
 
@@ -180,11 +180,10 @@ def write(spark: SparkSession, staging: Staging, m: MappingSet, o: Options = Opt
         return []
     done = {}
     for name, df in tables.items():
-        create(spark, p.new + name, clustered(df))
+        create(spark, p.new + name, clustered(_mended(df, name, m)))
         done[name] = spark.table(p.new + name).select(*df.columns)
     for g in derived.in_order(m.generalized, done):
-        df = derived.generalized(done[g.origin], g.tolerance, g.where)
-        df = derived.repaired(df) if any(r.origin == g.name for r in m.repairs) else df
+        df = _mended(derived.generalized(done[g.origin], g.tolerance, g.where), g.name, m)
         create(spark, p.new + g.name, clustered(df))
         done[g.name] = spark.table(p.new + g.name).select(*df.columns)
     return [p.new + n for n in done] + create_views(spark, m, p.new)

@@ -129,3 +129,22 @@ def test_default_mapping_derives(spark, tmp_path, osm):
     t = engine.derived_tables(engine.base_tables(s.load(), MAPPING, engine.Options(srid=3857)), MAPPING)
     assert set(engine.union_views(t, MAPPING)) == {"roads", "roads_gen1", "roads_gen0"}
     assert t["landusages_gen0"].count() == 2 and t["landusages"].where("osm_id = 7 AND area > 0").count() == 1
+
+
+def test_repair_of_a_base_table(spark, tmp_path):
+    """Polygons of a base table that a Repair names are written valid, and so are those generalized from it."""
+    corners = {1: (0, 0), 2: (4, 4), 3: (4, 0), 4: (0, 4)}
+    nodes = "".join(f'<node id="{i}" lon="{x}" lat="{y}"/>' for i, (x, y) in corners.items())
+    f = tmp_path / "bow.osm"
+    f.write_text(f'<?xml version="1.0"?><osm version="0.6">{nodes}{way(1, 1, 2, 3, 4, 1, landuse="park")}</osm>', encoding="utf-8")
+    mapping = MappingSet((SMALL.table("landusages"),), (Generalized("land_gen", "landusages", 0.001),), (), (Repair("land_valid", "landusages"),))
+    s = engine.Staging(spark, str(tmp_path / "bow"))
+    s.save(engine.merged(engine.read(spark, [str(f)])), mapping)
+    assert [r["ok"] for r in engine.base_tables(s.load(), mapping)["landusages"].select(geo.st_isvalid("geometry").alias("ok")).collect()] == [False]
+    names = engine.write(spark, s, mapping, p=catalog.Prefixes(new="bow_new_"))
+    try:
+        for name in ("bow_new_landusages", "bow_new_land_gen"):
+            assert [r["ok"] for r in spark.table(name).select(geo.st_isvalid("geometry").alias("ok")).collect()] == [True]
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
