@@ -148,6 +148,13 @@ def _raw_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(_view(spark, sf_dir, RELATIONS))
 
 
+def footway_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ways routed to lines and to polygons; of the result, the footways."""
+    ways = _ways(spark, sf_dir)
+    both = O.routed(ways, MAPPING, "line").unionByName(O.routed(ways, MAPPING, "polygon"))
+    return both.where(F.try_element_at(F.col("tags"), F.lit("highway")) == "footway").select("osm_id", F.col("table").alias("tbl"), F.col("key").alias("k"), F.col("value").alias("v"))
+
+
 def mercator_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = O.mercator(F.col("lon"), F.col("lat"))
     return _view(spark, sf_dir, NODES).select("osm_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
@@ -257,7 +264,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_lines": lambda s, d: _routes_of(_ways(s, d), "line"),
     "route_polygons_first_key_wins": lambda s, d: _routes_of(_ways(s, d), "polygon"),
     "route_wildcard": lambda s, d: _routes_of(_ways(s, d), "polygon").where("tbl = 'buildings'"),
-    "footway_two_tables": lambda s, d: _routes_of(_ways(s, d).where("osm_id % 10 = 3"), "line").unionByName(_routes_of(_ways(s, d).where("osm_id % 10 = 3"), "polygon")),
+    "footway_two_tables": footway_two_tables,
     "places_table": lambda s, d: _table(s, d, "places"),
     "transport_points_table": lambda s, d: _table(s, d, "transport_points"),
     "motorways_table": lambda s, d: _table(s, d, "motorways"),

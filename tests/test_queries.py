@@ -39,3 +39,11 @@ def test_query_matches_sql(spark, duck, name):
     b = sorted((tuple(plain(x[rel.columns.index(c)]) for c in cols) for x in rel.fetchall()), key=key)
     assert len(a) == len(b) and len(a) > 0
     assert a == b
+
+
+def test_footways_are_chosen_by_tag(spark, monkeypatch):
+    """With footways at other numbers the query follows the tag."""
+    assert "WHEN 3 THEN 'footway' WHEN 4 THEN 'residential'" in bridge.WAYS
+    monkeypatch.setattr(bridge, "WAYS", bridge.WAYS.replace("WHEN 3 THEN 'footway' WHEN 4 THEN 'residential'", "WHEN 3 THEN 'residential' WHEN 4 THEN 'footway'"))
+    got = QUERIES["footway_two_tables"](spark, SF).where("tbl = 'minorroads'").collect()
+    assert got and {r["osm_id"] % 10 for r in got} == {4} and {r["v"] for r in got} == {"footway"}
