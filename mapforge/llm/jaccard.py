@@ -7,15 +7,15 @@ more index entries, and asks for more shared ones before a pair is verified; the
 the shingles' frequencies. A pair is verified if it shares as many prefix shingles as the smaller l of
 the two, by the exact intersection of whole sets.
 
-Frequencies come from a count sketch of 2^20 cells over all shingles of all documents (4 MB, whatever
+Frequencies come from a count sketch of 2^20 cells over all shingles of all documents (8 MB, whatever
 the input). They steer costs only: any order and any l gives the same links.
 
-Only components are asked for, so documents of equal sets are one node, and pairs that are already
-connected are not verified again. Candidates of a shingle's list are compared to one representative
-first and lists are looked at again only where they hold more than one component; so a group of
-thousands of near copies costs in proportion to its size. What is left of long lists (near copies that
-are not near enough) is compared in blocks that yield links to one root, never pairs; what is left of
-short lists is compared pair by pair. No candidate is dropped.
+Only components are asked for, so documents of equal sets are one node. Each list of a shingle compares
+its least node to all others first; lists are looked at again only where the others make up more than one
+component by then, so a group of thousands of near copies costs in proportion to its size. What is left of
+long lists (near copies that are not near enough) is compared in blocks that yield links to one root, never
+pairs; what is left of short lists is compared pair by pair. The second round's links are contracted onto the
+first round's components. No candidate is dropped.
 
 Defined results: a null text or one without words has an empty set and links with nothing; fewer than
 ``k`` words are one shingle; rows with one doc_id and unequal texts are told apart (by a 64-bit hash of the
@@ -34,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import connected_components, lookup, temporary, whole_texts, written
-from .textkit import BITS, Words, bitmap, mix, runs, slices
+from .runtime import connected_components, lookup, measured, temporary, whole_texts, written
+from .textkit import BITS, Words, bitmap, is_set, mix, runs, slices
 
 if TYPE_CHECKING:
     import pandas as pd
@@ -97,7 +97,7 @@ def sketch(documents: DataFrame, k: int) -> np.ndarray:
     schema = "chunk int, cells array<long>"
     parts = documents.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
     out = np.zeros((n_chunks, width), dtype=np.int64)
-    for r in parts.toLocalIterator():  # n_chunks rows
+    for r in parts.collect():  # n_chunks rows
         out[r["chunk"]] = r["cells"]
     return out.ravel()
 
@@ -107,10 +107,9 @@ def _least(n, percent: int):
     return -(-n * percent // 100)
 
 
-def heads(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, n, node, l, prefix) of every document."""
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(cells.astype(np.int64))
+def heads(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> tuple[DataFrame, int]:
+    """(doc_id, text_hash, n, node, l, prefix) of every document, as a table, and its number of rows."""
+    shared = documents.sparkSession.sparkContext.broadcast(cells)
     noise = float(cells.sum()) / len(cells)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("l", pa.int32()), ("prefix", pa.list_(pa.int64()))])
 
@@ -135,25 +134,28 @@ def heads(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> Data
                 rows.append((doc_id, text_hash, n, _named(found), l_best, found[order[: base + l_best]].astype(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return documents.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).mapInArrow(head, "doc_id long, text_hash long, n long, node long, l int, prefix array<long>")
+    found = documents.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    out, seen = measured(found.mapInArrow(head, "doc_id long, text_hash long, n long, node long, l int, prefix array<long>"), "jaccard-heads")
+    shared.destroy()
+    return out, seen["n"]
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, set) of the documents whose doc_id is wanted, found by a bitmap of fixed size: some others may come too.
+    """(node, set) of the nodes wanted (node, text_hash), as a table. Texts are chosen by a bitmap of fixed size.
 
-    The bitmap only spares work: without it every set would be made.
+    The bitmap only spares work: without it every set would be made. Of a text's copies a task makes one set.
     """
-    spark = documents.sparkSession
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).cast("int")
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap(wanted.select(cell.alias("cell")))))
+    shared = documents.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.pmod("text_hash", F.lit(BITS)).alias("cell"))))
     schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int64()))])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hit = np.unpackbits(shared.value).astype(bool)
+        made: set[int] = set()
 
         def chosen() -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array(hit[batch.column(1).to_numpy()]))
+                hashes = batch.column(1).to_numpy()
+                rows = [i for i in np.flatnonzero(is_set(shared.value, hashes)).tolist() if not (hashes[i] in made or made.add(hashes[i]))]
+                yield batch.take(pa.array(rows, type=pa.int64()))
 
         for piece in slices(chosen(), "text"):
             sets = [np.unique(s) for s in _shingles(piece.column(0), k)]
@@ -161,8 +163,10 @@ def _sets(documents: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             if kept:
                 yield pa.RecordBatch.from_arrays([pa.array([_named(s) for s in kept], type=pa.int64()), pa.array([s.astype(np.int64) for s in kept], type=schema.field(1).type)], schema=schema)
 
-    found = documents.select("text", cell.alias("cell")).mapInArrow(make, "node long, set array<long>")
-    return found.join(wanted.select("node").distinct(), "node", "left_semi")
+    found = documents.select("text", F.xxhash64("text").alias("text_hash")).mapInArrow(make, "node long, set array<long>")
+    out = written(found.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
+    shared.destroy()
+    return out
 
 
 def _stars(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -210,129 +214,95 @@ def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFr
     """
     whole_texts(documents.sparkSession)
     docs = documents.select("doc_id", "text")
-    head = written(heads(docs, k, percent, sketch(docs, k)), "jaccard-heads")
+    head, total = heads(docs, k, percent, sketch(docs, k))
     with temporary(documents.sparkSession):
         named = _linked(docs, head, k, percent)
-    out = lookup(head.select("doc_id", "text_hash", "n", "node"), named, "node", "count", head.count())
+    out = lookup(head.select("doc_id", "text_hash", "n", "node"), named, "node", "count", total)
     return out.select("doc_id", "text_hash", "n", "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "part")
 
 
 def _linked(docs: DataFrame, head: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, count, component_id, part) of every node of head, a kept table."""
-    some = head.where("n > 0")
-    nodes = some.select("node", "n", "l", "prefix")
+    # All copies of a text share their node, so from here on a group of copies is one row.
+    one = F.first(F.struct("n", "l", "prefix", "text_hash")).alias("one")
+    nodes = head.where("n > 0").groupBy("node").agg(one, F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("count"))
+    nodes, seen = measured(nodes.select("node", "one.*", "first", "count"), "jaccard-nodes")
 
-    listed = some.select("node", F.explode("prefix").alias("shingle"))
-    lists = listed.groupBy("shingle").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    post = written(listed.join(lists.select("shingle"), "shingle").join(some.groupBy("node").agg(F.first("n").alias("n")), "node").distinct(), "jaccard-lists")
-    one = nodes.dropDuplicates(["node"])
-
-    edges: DataFrame | None = None
-    part: DataFrame | None = None
-    tried: DataFrame | None = None
-    sets: DataFrame | None = None
+    entries = nodes.select("node", "n", F.explode("prefix").alias("shingle"))
+    lists = entries.groupBy("shingle").agg(F.min("node").alias("rep"), F.min_by("n", "node").alias("n_rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    entries, lengths = measured(entries.join(lists, "shingle"), "jaccard-lists", F.max("m").alias("longest"))
 
     def alike(a: Column, b: Column) -> Column:
-        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)  # no pair of these sizes can be as alike else
+        return F.least(a, b) * 100 >= F.greatest(a, b) * percent  # no pair of other sizes can be alike enough
 
-    def with_part(df: DataFrame, node: str, name: str) -> DataFrame:
-        if part is None:
-            return df.withColumn(name, F.col(node))
-        p = part.select(F.col("node").alias("__p"), F.col("component").alias("__c"))
-        return df.join(p, F.col(node) == F.col("__p"), "left").withColumn(name, F.coalesce("__c", node)).drop("__p", "__c")
+    def candidates(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that share prefix shingles enough, with hashes of their texts, as a table."""
+        sides = [nodes.select(F.col("node").alias(x), F.col("l").alias(f"l_{x}"), F.col("prefix").alias(f"p_{x}"), F.col("text_hash").alias(f"t_{x}")) for x in ("a", "b")]
+        met = pairs.distinct().join(sides[1], "b").join(sides[0], "a").where(F.size(F.array_intersect("p_a", "p_b")) >= F.least("l_a", "l_b"))
+        return written(met.select("a", "b", "t_a", "t_b"), "jaccard-candidates")
 
-    def fetch(nodes: DataFrame) -> None:
-        """Add to sets those of nodes that aren't there yet."""
-        nonlocal sets
-        missing = nodes if sets is None else nodes.join(sets.select("node"), "node", "left_anti")
-        # One document of each node before the join: all copies of a text share their node.
-        wanted = written(some.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(missing, "node"), "jaccard-wanted")
-        if sets is None or not wanted.isEmpty():
-            new = written(_sets(docs, wanted, k).dropDuplicates(["node"]), "jaccard-sets")
-            sets = new if sets is None else sets.unionByName(new)
-
-    def verify(pairs: DataFrame) -> None:
-        """Add the links among pairs (a, b) to edges and components."""
-        nonlocal edges, part, tried
-        pairs = written(pairs, "jaccard-pairs")
-        if pairs.isEmpty():
-            return
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        fetch(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    def ends(met: DataFrame) -> DataFrame:
+        return met.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("t_a").alias("text_hash")), F.struct(F.col("b").alias("node"), F.col("t_b").alias("text_hash")))))
+
+    def links(met: DataFrame, sets: DataFrame) -> DataFrame:
+        """The candidates whose whole sets are alike enough."""
         left = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
         right = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-        both = pairs.join(right, "b").join(left, "a")
-        common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-        links = both.select("a", "b", common.alias("common"), (F.size("set_a") + F.size("set_b")).cast("long").alias("sum"))
-        links = written(links.where((F.col("common") * 100) >= (F.col("sum") - F.col("common")) * percent).select("a", "b"), "jaccard-links")
-        edges = links if edges is None else edges.unionByName(links)
-        part = connected_components(edges, "a", "b")
-
-    def process(pairs: DataFrame) -> None:
-        """Pairs (a, b, l and sizes aside) of different components: filter by shared prefix shingles, then verify."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        a = one.select(F.col("node").alias("a"), F.col("l").alias("la"), F.col("prefix").alias("pa"))
-        b = one.select(F.col("node").alias("b"), F.col("l").alias("lb"), F.col("prefix").alias("pb"))
-        met = pairs.join(b, "b").join(a, "a").select("a", "b", F.size(F.array_intersect("pa", "pb")).alias("met"), F.least("la", "lb").alias("l"))
-        met = written(met.where("met >= l").select("a", "b", "met"), "jaccard-candidates")
-        # The best of each document first: most of the others are connected by then.
-        verify(met.groupBy("b").agg(F.max(F.struct("met", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"))
-        rest = met.select("a", "b")
-        if tried is not None:
-            rest = rest.join(tried, ["a", "b"], "left_anti")
-        rest = with_part(with_part(rest, "a", "ca"), "b", "cb").where("ca != cb").select("a", "b")
-        verify(rest)
-
-    def in_blocks(lists: DataFrame, current: DataFrame) -> None:
-        """Add the links among all members of lists (shingle, m), compared in blocks that give stars, never pairs."""
-        nonlocal edges, part
-        members = written(current.join(lists.select("shingle", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "shingle"), "jaccard-members")
-        fetch(members.select("node").distinct())
-        dealt = members.withColumn("b", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        common = F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("common")
+        both = met.select("a", "b").join(right, "b").join(left, "a").select("a", "b", common, (F.size("set_a") + F.size("set_b")).cast("long").alias("sum"))
+        return both.where(F.col("common") * 100 >= (F.col("sum") - F.col("common")) * percent).select("a", "b")
+
+    def with_part(df: DataFrame, parts: DataFrame, node: str, name: str) -> DataFrame:
+        p = parts.select(F.col("node").alias("__p"), F.col("component").alias("__c"))
+        return df.join(p, F.col(node) == F.col("__p"), "left").withColumn(name, F.coalesce("__c", node)).drop("__p", "__c")
+
+    def in_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+        """The links among members (shingle, m, node) of each list, compared in blocks that give stars, never pairs."""
+        dealt = members.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("b", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         tasks = dealt.select("node", "shingle", "b", F.least("b", "other").alias("lo"), F.greatest("b", "other").alias("hi")).join(sets, "node")
-        found = written(tasks.groupBy("shingle", "lo", "hi").applyInPandas(lambda pdf: _stars(pdf, percent), "a long, b long").distinct(), "jaccard-links")
-        edges = found if edges is None else edges.unionByName(found)
-        part = connected_components(edges, "a", "b")
-
-    def open_lists() -> tuple[DataFrame, DataFrame, float]:
-        """Entries with their parts, the lists with more than one, and how many pairs of theirs cross."""
-        current = written(with_part(post, "node", "part"), "jaccard-current")
-        state = current.groupBy("shingle", "part").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("first"))
-        state = state.groupBy("shingle").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("mm"), F.count(F.lit(1)).alias("parts"), F.min("first").alias("rep")).where("parts > 1")
-        state = written(state, "jaccard-open")
-        return current, state, state.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs")).first()["pairs"] or 0
-
-    # 1. In each list one representative against all others.
-    reps = post.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("rep")).select("shingle", F.col("rep.node").alias("rep"), F.col("rep.n").alias("nr"))
-    process(post.join(reps, "shingle").where((F.col("node") != F.col("rep")) & alike(F.col("n"), F.col("nr"))).select(F.col("rep").alias("a"), F.col("node").alias("b")))
-    # 2. Long lists that still hold several components, in blocks: first those that are some node's longest.
-    current, state, crossing = open_lists()
-    long = state.where(F.col("m") > LONG)
-    if crossing and not long.isEmpty():
-        entries = current.join(long.select("shingle", "m"), "shingle")
-        home = written(entries.groupBy("node").agg(F.max(F.struct("m", "shingle")).alias("h")).select("node", F.col("h.shingle").alias("home"), F.col("h.m").alias("m")), "jaccard-homes")
-        in_blocks(home.select(F.col("home").alias("shingle"), "m").distinct(), current.select("node", "shingle"))
-        # Members of one home have met. Where a long list holds several homes besides several components, it is done as well.
-        current, state, crossing = open_lists()
-        left = current.join(state.where(F.col("m") > LONG).select("shingle", "m"), "shingle").join(home.select("node", "home"), "node", "left")
-        left = written(left.groupBy("shingle").agg(F.max("m").alias("m"), F.min("home").alias("lo"), F.max("home").alias("hi"), F.count("home").alias("homes")).where("lo < hi OR homes < m").select("shingle", "m"), "jaccard-left")
-        done = home.select(F.col("home").alias("shingle")).distinct()
-        left = left.join(done, "shingle", "left_anti")
-        if not left.isEmpty():
-            in_blocks(left, current.select("node", "shingle"))
-    # 3. All pairs across components in the short lists, at most LONG / 2 an entry.
-    current, state, crossing = open_lists()
-    if crossing:
-        rest = written(current.join(state.where(F.col("m") <= LONG).select("shingle"), "shingle"), "jaccard-rest")
+        return tasks.groupBy("shingle", "lo", "hi").applyInPandas(lambda pdf: _stars(pdf, percent), "a long, b long")
+
+    # 1. In each list its least node against all others.
+    others = entries.where("node != rep")
+    met = candidates(others.where(alike(F.col("n"), F.col("n_rep"))).select(F.col("rep").alias("a"), F.col("node").alias("b")))
+    sets = _sets(docs, ends(met), k)
+    parts = connected_components(links(met, sets), "a", "b")
+    # 2. Lists whose other members still are in several components.
+    others = with_part(others.where("m > 2").select("shingle", "node", "n", "m"), parts, "node", "part")
+    crossing = others.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("shingle")
+    others, left = measured(others.join(crossing, "shingle"), "jaccard-open", F.max("m").alias("longest"))
+    if left["n"]:
+        # Short ones: all pairs across components, at most LONG / 2 an entry.
+        rest = others.where(F.col("m") <= LONG)
         x = rest.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("part").alias("ca"))
         y = rest.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("part").alias("cb"))
-        process(x.join(y, "shingle").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike(F.col("na"), F.col("nb"))))
-
-    named = with_part(some.groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")), "node", "part")
-    least = named.groupBy("part").agg(F.min("first").alias("component_id"))
-    return written(named.join(least, "part").select("node", F.col("rows").alias("count"), "component_id", "part"), "jaccard-components", keep=True)
+        pairs = x.join(y, "shingle").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike(F.col("na"), F.col("nb"))).select("a", "b")
+        again = candidates(pairs.distinct().join(met.select("a", "b"), ["a", "b"], "left_anti"))
+        wanted, members = ends(again), None
+        if left["longest"] > LONG:
+            # Long ones, in blocks: those that are some node's longest, and those whose members have several such lists.
+            long = others.where(F.col("m") > LONG).select("node", "shingle", "m")
+            home = long.groupBy("node").agg(F.max(F.struct("m", "shingle")).alias("home")).select("node", F.col("home.shingle").alias("home"))
+            long = written(long.join(home, "node"), "jaccard-long")
+            chosen = long.groupBy("shingle").agg(F.min("home").alias("lo"), F.max("home").alias("hi")).where("lo < hi").select("shingle")
+            chosen = chosen.unionByName(long.select(F.col("home").alias("shingle"))).distinct()
+            members = written(long.join(chosen, "shingle").join(nodes.select("node", "text_hash"), "node").select("shingle", "m", "node", "text_hash"), "jaccard-members")
+            wanted = wanted.unionByName(members.select("node", "text_hash"))
+        sets = sets.unionByName(_sets(docs, wanted.distinct().join(sets.select("node"), "node", "left_anti"), k))
+        found = links(again, sets)
+        if members is not None:
+            found = found.unionByName(in_blocks(members.drop("text_hash"), sets))
+        # Contracted onto the components of the first round: only links that join two of them are left.
+        found = with_part(with_part(found, parts, "a", "part_a"), parts, "b", "part_b").where("part_a != part_b").select("part_a", "part_b")
+        joined = connected_components(found, "part_a", "part_b")
+    named = with_part(nodes.select("node", "first", "count"), parts, "node", "part")
+    if left["n"]:
+        named = with_part(named, joined, "part", "whole").select("node", "first", "count", F.col("whole").alias("part"))
+    named = written(named, "jaccard-parts")
+    least = named.groupBy("part").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    out = lookup(named.select("node", "count", "part"), least, "part", "n", seen["n"])
+    return written(out.select("node", "count", "component_id", "part"), "jaccard-components", keep=True)
 
 
 def near_copies(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFrame:
@@ -349,13 +319,13 @@ def deduplicated(documents: DataFrame, *, k: int = 5, percent: int = 80) -> Data
     key = lambda doc_id, text_hash: F.concat_ws(":", F.coalesce(doc_id.cast("long").cast("string"), F.lit("-")), text_hash.cast("string")).alias("key")
     with temporary(documents.sparkSession):
         placed = components(documents, k=k, percent=percent)
-        keys = written(placed.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"), F.min("part").alias("part")), "jaccard-keys")
+        keys, seen = measured(placed.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"), F.min("part").alias("part")), "jaccard-keys", F.sum("rows").alias("rows"))
+        total = seen["rows"] or 0
         first = keys.where("n > 0").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
         first = first.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash"))
         marks = keys.join(first, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
         marks = marks.withColumn("gone", (F.col("n") > 0) & F.col("__hash").isNull()).where("gone OR rows > 1 AND (n > 0 OR doc_id IS NOT NULL)")
-        marks = written(marks.select(key(F.col("doc_id"), F.col("text_hash")), "rows", "gone"), "jaccard-marks", keep=True)
-        total = keys.agg(F.sum("rows")).first()[0] or 0
+        marks, left = measured(marks.select(key(F.col("doc_id"), F.col("text_hash")), "rows", "gone"), "jaccard-marks", F.count_if(~F.col("gone")).alias("repeated"), keep=True)
     rows = documents.select(F.struct("*").alias("row"), key(F.col("doc_id"), F.xxhash64("text")))
 
     def marked(of: DataFrame) -> list[DataFrame]:
@@ -364,9 +334,8 @@ def deduplicated(documents: DataFrame, *, k: int = 5, percent: int = 80) -> Data
 
     hot, rest = marked(marks)
     kept = rows.join(hot, "key", "left_anti").join(rest, "key", "left_anti").select("row")
-    repeated = marks.where("NOT gone")
-    if not repeated.isEmpty():
-        hot, rest = marked(repeated)
+    if left["repeated"]:
+        hot, rest = marked(marks.where("NOT gone"))
         again = rows.join(hot, "key", "left_semi").unionByName(rows.join(rest, "key", "left_semi"))
         # min_by adds up before the shuffle, so many equal rows never meet in one task.
         kept = kept.unionByName(again.groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row"))

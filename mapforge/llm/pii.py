@@ -152,36 +152,38 @@ def _features(s: Column) -> Column:
     return F.array(*parts)
 
 
-def estimate(spans: DataFrame, rounds: int = 25) -> tuple[dict[str, float], dict[tuple[str, int, int], float]]:
+Estimates = tuple[dict[str, float], dict[tuple[str, int, int], float]]
+
+
+def _log_odds(estimates: Estimates, kind: str, votes: tuple[int, ...]) -> float:
+    """Log odds that a span of a kind with these votes is real."""
+    prior, vote = estimates
+    return math.log(prior[kind] / (1 - prior[kind])) + sum(math.log(vote[x, v, 1] / vote[x, v, 0]) for x, v in zip(LABELERS, votes, strict=True))
+
+
+def estimate(spans: DataFrame, rounds: int = 25) -> Estimates:
     """Expectation-maximisation over vote patterns: P(kind's span is real) and P(vote | labeler, truth).
 
-    Each round is an aggregation of the pattern table, which has at most len(KINDS) * 3^4 rows.
+    The patterns are counted once, distributed; their table (at most len(KINDS) * 3^4 rows) is all that the rounds read.
     """
-    patterns = written(spans.groupBy("kind", *LABELERS).agg(F.count(F.lit(1)).cast("double").alias("n")).coalesce(1), "pii-patterns")
-    score = sum((F.col(x) for x in LABELERS), F.lit(0))
-    real = F.when(score >= 2, F.lit(0.9)).when(score == 1, F.lit(0.6)).when(score == 0, F.lit(0.4)).otherwise(F.lit(0.1))
+    counted = spans.groupBy("kind", *LABELERS).agg(F.count(F.lit(1)).alias("n")).collect()
+    patterns = [(r["kind"], tuple(r[x] for x in LABELERS), r["n"]) for r in counted]
+    start = {2: 0.9, 1: 0.6, 0: 0.4}
+    real = [start.get(min(2, sum(votes)), 0.1) for _, votes, _ in patterns]
     prior: dict[str, float] = {}
     vote: dict[tuple[str, int, int], float] = {}
     for _ in range(rounds):
-        p = patterns.withColumn("__p", real)
-        sums = [F.sum(F.when(F.col(x) == v, F.col("n") * (F.col("__p") if y else 1 - F.col("__p")))).alias(f"{x}_{v + 1}_{y}") for x in LABELERS for v in (-1, 0, 1) for y in (0, 1)]
-        kinds = [F.sum(F.when(F.col("kind") == k, F.col("n") * (F.col("__p") if y else 1 - F.col("__p")))).alias(f"kind_{k}_{y}") for k in KINDS for y in (0, 1)]
-        got = p.agg(*sums, *kinds).first()
         was = dict(vote)
-        for x in LABELERS:
-            for y in (0, 1):
-                each = {v: (got[f"{x}_{v + 1}_{y}"] or 0.0) + 1.0 + 2.0 * (y == (v > 0)) * (v != 0) for v in (-1, 0, 1)}
-                vote |= {(x, v, y): c / sum(each.values()) for v, c in each.items()}
+        weights = [(n * p, n * (1 - p)) for (_, _, n), p in zip(patterns, real, strict=True)]
         for k in KINDS:
-            yes, no = ((got[f"kind_{k}_{y}"] or 0.0) + 1.0 for y in (1, 0))
+            yes, no = (math.fsum(w[i] for (kind, _, _), w in zip(patterns, weights, strict=True) if kind == k) + 1.0 for i in (0, 1))
             prior[k] = yes / (yes + no)
-        odds = F.lit(0.0)
-        for k in KINDS:
-            odds = odds + F.when(F.col("kind") == k, math.log(prior[k] / (1 - prior[k]))).otherwise(0.0)
-        for x in LABELERS:
-            for v in (-1, 0, 1):
-                odds = odds + F.when(F.col(x) == v, math.log(vote[x, v, 1] / vote[x, v, 0])).otherwise(0.0)
-        real = 1 / (1 + F.exp(-odds))
+        for i, x in enumerate(LABELERS):
+            for y in (0, 1):
+                # A labeler is taken to be right more often than wrong: its right votes start at three, others at one.
+                each = {v: math.fsum(w[1 - y] for (_, votes, _), w in zip(patterns, weights, strict=True) if votes[i] == v) + 1.0 + 2.0 * (y == (v > 0)) * (v != 0) for v in (-1, 0, 1)}
+                vote |= {(x, v, y): c / sum(each.values()) for v, c in each.items()}
+        real = [1 / (1 + math.exp(-max(-500.0, min(500.0, _log_odds((prior, vote), k, votes))))) for k, votes, _ in patterns]
         if was and max(abs(was[i] - vote[i]) for i in vote) < 1e-4:
             break
     return prior, vote

@@ -21,7 +21,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(k) for k in ("email", "ip", "card", "phone")]
-    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

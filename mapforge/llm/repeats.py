@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import lookup, temporary, whole_texts, written
-from .textkit import BITS, Words, _power, bitmap, mix, runs, slices
+from .runtime import lookup, measured, temporary, whole_texts, written
+from .textkit import BITS, Words, _power, bitmap, is_set, mix, runs, slices
 
 SEED = 8
 SPREAD = 2654435761
@@ -100,16 +100,16 @@ def _repeated(documents: DataFrame, window: int, seed: int) -> DataFrame:
     # One occurrence of each reach stands for all in the search window by window.
     cell = F.col("only.k").bitwiseXOR(F.col("only.first").cast("long") * SPREAD)
     chosen = bitmap(by_reach.select(F.pmod(cell, F.lit(BITS)).alias("cell")))
-    shared = documents.sparkSession.sparkContext.broadcast(np.packbits(chosen))
+    shared = documents.sparkSession.sparkContext.broadcast(chosen)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hit = np.unpackbits(shared.value).astype(bool)
+        hit = shared.value
         for piece in slices(batches, "text"):
             text, first, last, _, _, words, hashes = _anchored(piece.column(0), window, seed)
             if not len(text):
                 continue
             keys = piece.column(1).to_numpy()
-            chosen = np.flatnonzero(hit[(keys[text] ^ (first * SPREAD)) & (BITS - 1)])
+            chosen = np.flatnonzero(is_set(hit, keys[text] ^ (first * SPREAD)))
             if not len(chosen):
                 continue
             text, first, last = text[chosen], first[chosen], last[chosen]
@@ -118,9 +118,10 @@ def _repeated(documents: DataFrame, window: int, seed: int) -> DataFrame:
             at = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             yield pa.RecordBatch.from_arrays([pa.array(keys[text[row]]), pa.array(at, type=i32), pa.array(hashes[at + words.first[text[row]]].astype(np.int64))], names=["k", "first", "window"])
 
-    single = written(docs.mapInArrow(windows, "k long, first int, window long"), "windows")
+    single, seen = measured(docs.mapInArrow(windows, "k long, first int, window long"), "windows")
+    shared.destroy()
     twice = written(single.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("again", F.lit(True)), "windows-again")
-    edges = lookup(single, twice, "window", "n", single.count()).where("again").select("k", "first", F.col("first").alias("last"))
+    edges = lookup(single, twice, "window", "n", seen["n"]).where("again").select("k", "first", F.col("first").alias("last"))
     return same.unionByName(edges).distinct()
 
 

@@ -9,15 +9,24 @@ from __future__ import annotations
 import atexit
 import contextlib
 import tempfile
+import threading
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 _local_roots: dict[str, str] = {}
-_scopes: list[list[str]] = []
+_swept: set[str] = set()
+_thread = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    """The open scopes of temporary(), of this thread alone: two queries in threads keep apart."""
+    if not hasattr(_thread, "scopes"):
+        _thread.scopes = []
+    return _thread.scopes
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -36,9 +45,21 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(its file system, its path) by Hadoop."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/mapforge/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    """A fresh path below the shared scratch folder, in a folder of the application that goes when its driver ends."""
+    folder = f"{scratch_root(spark)}/mapforge/{spark.sparkContext.applicationId}"
+    if folder not in _swept:
+        fs, at = _hadoop(spark, folder)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _swept.add(folder)
+    return f"{folder}/{tag}-{uuid.uuid4().hex}"
 
 
 def whole_texts(spark: SparkSession, rows: int = 512) -> None:
@@ -52,15 +73,18 @@ def whole_texts(spark: SparkSession, rows: int = 512) -> None:
 def temporary(spark: SparkSession):
     """Tables written inside are deleted at the end, but for those written with keep: nothing returned may read the others."""
     paths: list[str] = []
-    _scopes.append(paths)
+    _scopes().append(paths)
     try:
         yield
     finally:
-        _scopes.pop()
-        jvm = spark.sparkContext._jvm
+        _scopes().pop()
         for path in paths:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            drop_path(spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    fs, at = _hadoop(spark, path)
+    fs.delete(at, True)
 
 
 def written(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
@@ -70,13 +94,21 @@ def written(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    for scope in _scopes[-2:-1] if keep else _scopes[-1:]:
+    scopes = _scopes()
+    for scope in scopes[-2:-1] if keep else scopes[-1:]:
         scope.append(path)
     whole_texts(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, tag: str, *values: Column, keep: bool = False) -> tuple[DataFrame, dict]:
+    """written() and its number of rows (n) and other aggregates, gathered while it is written: no job of their own."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("n"), *values), tag, keep)
+    return out, seen.get
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -124,34 +156,30 @@ def ranked(df: DataFrame, group: list[str], hashed: str, ties: list[str], weight
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node id reachable, for every node that has an edge.
 
-    Alternating large-star and small-star contraction. Minima are aggregated before the shuffle, so
-    a hub's neighbours never meet in one group; each round is a written table. No edges: no rows.
+    Alternating large-star and small-star contraction; each is a written table, whose number and hash
+    tell when nothing changes. A node's least neighbour is aggregated before the shuffle and brought to
+    its edges by lookup(), so a hub's edges are dealt evenly. No edges: no rows.
     """
     with temporary(edges.sparkSession):
         return written(_components(edges, a, b), "components", keep=True)
 
 
 def _components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    spark = edges.sparkSession
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
-    cur = written(edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "edges")
+    state = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+    cur, now = measured(edges.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "edges", state)
     seen = None
-    while True:
-        state = cur.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if not state["n"] or (state["n"], state["h"]) == seen:
-            break
-        seen = (state["n"], state["h"])
+    while now["n"] and now != seen:
+        seen = now
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = written(large, "large-star")
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(down, "u")
-        small = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        cur = written(small, "small-star")
-    return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    ) if seen else spark.createDataFrame([], T.StructType([T.StructField("node", T.LongType()), T.StructField("component", T.LongType())]))
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("c"))
+        met = lookup(both, least, "u", "c", 2 * now["n"])
+        large, now = measured(met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star", state)
+        down = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c"))
+        low = lookup(large, down, "u", "c", now["n"])
+        small = low.select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")).distinct()
+        cur, now = measured(small, "small-star", state)
+    return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def let(value: Column, use) -> Column:

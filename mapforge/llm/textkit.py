@@ -124,7 +124,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
 
 
 def bitmap(cells: DataFrame) -> np.ndarray:
-    """BITS booleans: those of the numbers (cell) are true. Rows are merged to 8192 byte strings before they reach the driver."""
+    """BITS bits, packed in bytes: those of the numbers (cell) are set. Rows are merged to 8192 byte strings before they reach the driver."""
     width = 4096
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,8 +147,14 @@ def bitmap(cells: DataFrame) -> np.ndarray:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(list(rows), type=pa.int32()), pa.array([v.tobytes() for v in rows.values()], type=pa.binary())], names=["row", "bits"])
 
-    out = np.zeros(BITS, dtype=bool)
+    out = np.zeros(BITS // 8, dtype=np.uint8)
     kind = "row int, bits binary"
     for r in cells.select(F.col("cell").cast("int")).mapInArrow(add, kind).repartition("row").mapInArrow(merge, kind).collect():
-        out[r["row"] * width : (r["row"] + 1) * width] = np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8)).astype(bool)
+        out[r["row"] * width // 8 : (r["row"] + 1) * width // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
     return out
+
+
+def is_set(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Which of the numbers (modulo BITS) are in a bitmap."""
+    at = numbers & (BITS - 1)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
