@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import connected_components, lookup, measured, temporary, whole_texts, written
+from .runtime import connected_components, dropped, lookup, measured, temporary, whole_texts, written
 from .textkit import BITS, Words, bitmap, is_set, mix, runs, slices
 
 if TYPE_CHECKING:
@@ -73,12 +73,17 @@ def sketch(documents: DataFrame, k: int) -> np.ndarray:
     n_chunks, width = 1 << (CELL_BITS - CHUNK_BITS), 1 << CHUNK_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << CELL_BITS, dtype=np.int64)
+        cells, total = np.zeros(1 << CELL_BITS, dtype=np.int32), 0
         for piece in slices(batches, "text"):
             found = [s for s in _shingles(piece.column(0), k) if len(s)]
             if found:
-                cells += np.bincount((np.concatenate(found) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS)
-        if cells.any():
+                more = sum(map(len, found))
+                if total and total + more >= 1 << 31:
+                    yield chunks(cells.reshape(n_chunks, width), np.arange(n_chunks))
+                    cells, total = np.zeros(1 << CELL_BITS, dtype=np.int32), 0
+                cells += np.bincount((np.concatenate(found) >> np.uint64(64 - CELL_BITS)).astype(np.int32), minlength=1 << CELL_BITS).astype(np.int32)
+                total += more
+        if total:
             yield chunks(cells.reshape(n_chunks, width), np.arange(n_chunks))
 
     def chunks(rows: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
@@ -90,12 +95,11 @@ def sketch(documents: DataFrame, k: int) -> np.ndarray:
         for batch in batches:
             values = batch.column(1).flatten().to_numpy().reshape(-1, width)
             for c, row in zip(batch.column(0).to_pylist(), values, strict=True):
-                sums[c] = sums[c] + row if c in sums else row
+                sums[c] = sums[c] + row if c in sums else row.astype(np.int64)
         if sums:
             yield chunks(np.stack(list(sums.values())), np.array(list(sums)))
 
-    schema = "chunk int, cells array<long>"
-    parts = documents.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
+    parts = documents.select("text").mapInArrow(count, "chunk int, cells array<int>").repartition("chunk").mapInArrow(add, "chunk int, cells array<long>")
     out = np.zeros((n_chunks, width), dtype=np.int64)
     for r in parts.collect():  # n_chunks rows
         out[r["chunk"]] = r["cells"]
@@ -108,7 +112,7 @@ def _least(n, percent: int):
 
 
 def heads(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> tuple[DataFrame, int]:
-    """(doc_id, text_hash, n, node, l, prefix) of every document, as a table, and its number of rows."""
+    """(doc_id, text_hash, n, node, l, prefix) of every document, as a table, and how many they are."""
     shared = documents.sparkSession.sparkContext.broadcast(cells)
     noise = float(cells.sum()) / len(cells)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("l", pa.int32()), ("prefix", pa.list_(pa.int64()))])
@@ -214,23 +218,26 @@ def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFr
     """
     whole_texts(documents.sparkSession)
     docs = documents.select("doc_id", "text")
-    head, total = heads(docs, k, percent, sketch(docs, k))
     with temporary(documents.sparkSession):
-        named = _linked(docs, head, k, percent)
-    out = lookup(head.select("doc_id", "text_hash", "n", "node"), named, "node", "count", total)
+        head, total = heads(docs, k, percent, sketch(docs, k))
+        # All copies of a text share their node, so from here on a group of copies is one row.
+        one = F.first(F.struct("n", "l", "prefix", "text_hash")).alias("one")
+        nodes = head.where("n > 0").groupBy("node").agg(one, F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("count"))
+        nodes, seen = measured(nodes.select("node", "one.*", "first", "count"), "jaccard-nodes")
+        placed = written(head.select("doc_id", "text_hash", "n", "node"), "jaccard-placed", keep=True)
+        dropped(head)
+        named = _linked(docs, nodes, seen["n"], k, percent)
+    out = lookup(placed, named, "node", "count", total)
     return out.select("doc_id", "text_hash", "n", "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "part")
 
 
-def _linked(docs: DataFrame, head: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, count, component_id, part) of every node of head, a kept table."""
-    # All copies of a text share their node, so from here on a group of copies is one row.
-    one = F.first(F.struct("n", "l", "prefix", "text_hash")).alias("one")
-    nodes = head.where("n > 0").groupBy("node").agg(one, F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("count"))
-    nodes, seen = measured(nodes.select("node", "one.*", "first", "count"), "jaccard-nodes")
-
+def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: int) -> DataFrame:
+    """(node, count, component_id, part) of every node of nodes (node, n, l, prefix, text_hash, first, count), a kept table."""
     entries = nodes.select("node", "n", F.explode("prefix").alias("shingle"))
-    lists = entries.groupBy("shingle").agg(F.min("node").alias("rep"), F.min_by("n", "node").alias("n_rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    entries, lengths = measured(entries.join(lists, "shingle"), "jaccard-lists", F.max("m").alias("longest"))
+    lists = entries.groupBy("shingle").agg(F.min("node").alias("rep"), F.min_by("n", "node").alias("n_rep"), F.count(F.lit(1)).alias("m"), F.count(F.lit(1)).alias("rows")).where("m > 1")
+    lists, seen = measured(lists, "jaccard-shingles", F.sum("m").alias("entries"))
+    entries = written(lookup(entries, lists, "shingle", "rows", seen["entries"] or 0).where("rep IS NOT NULL"), "jaccard-lists")
+    dropped(lists)
 
     def alike(a: Column, b: Column) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * percent  # no pair of other sizes can be alike enough
@@ -270,8 +277,9 @@ def _linked(docs: DataFrame, head: DataFrame, k: int, percent: int) -> DataFrame
     parts = connected_components(links(met, sets), "a", "b")
     # 2. Lists whose other members still are in several components.
     others = with_part(others.where("m > 2").select("shingle", "node", "n", "m"), parts, "node", "part")
-    crossing = others.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("shingle")
-    others, left = measured(others.join(crossing, "shingle"), "jaccard-open", F.max("m").alias("longest"))
+    others, seen = measured(others, "jaccard-others")
+    crossing = others.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo < hi").select("shingle", "rows", F.lit(True).alias("open"))
+    others, left = measured(lookup(others, crossing, "shingle", "rows", seen["n"]).where("open").drop("open"), "jaccard-open", F.max("m").alias("longest"))
     if left["n"]:
         # Short ones: all pairs across components, at most LONG / 2 an entry.
         rest = others.where(F.col("m") <= LONG)
@@ -301,7 +309,7 @@ def _linked(docs: DataFrame, head: DataFrame, k: int, percent: int) -> DataFrame
         named = with_part(named, joined, "part", "whole").select("node", "first", "count", F.col("whole").alias("part"))
     named = written(named, "jaccard-parts")
     least = named.groupBy("part").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
-    out = lookup(named.select("node", "count", "part"), least, "part", "n", seen["n"])
+    out = lookup(named.select("node", "count", "part"), least, "part", "n", n_nodes)
     return written(out.select("node", "count", "component_id", "part"), "jaccard-components", keep=True)
 
 

@@ -109,6 +109,12 @@ def measured(df: DataFrame, tag: str, *values: Column, keep: bool = False) -> tu
     return out, seen.get
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete the files of a written table that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        drop_path(table.sparkSession, path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -188,19 +194,22 @@ def let(value: Column, use) -> Column:
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
-    """left with right's columns by key (null where it has none); right has a row per key and n, left's rows of that key.
+    """left with right's columns by key (null where it has none); right has a row per key (a long or string) and n, left's rows of that key.
 
     Keys with more than a thousandth of all rows (fewer than a thousand, so they are broadcast) are
     looked up on the map side; their rows are then dealt evenly in the shuffled join for all others.
     """
     values = [c for c in right.columns if c not in (key, n)]
+    kind = left.schema[key].dataType
     hot = right.where(F.col(n) * 1000 > total).select(F.col(key).alias("__hot"), F.struct(*values).alias("__hot_v"))
-    rest = right.where(F.col(n) * 1000 <= total).select(F.col(key).alias("__rest"), F.struct(*values).alias("__rest_v"))
+    rest = right.where(F.col(n) * 1000 <= total).select(F.col(key).cast(kind).alias("__rest"), F.struct(*values).alias("__rest_v"))
     rows = left.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
-    spread = F.concat(F.lit("\u0000"), F.xxhash64(*[c for c in left.columns if c != key]).cast("string"))
-    rows = rows.withColumn("__key", F.when(F.col("__hot").isNull(), F.col(key).cast("string")).otherwise(spread))
-    rows = rows.join(rest.withColumn("__rest", F.col("__rest").cast("string")), F.col("__key") == F.col("__rest"), "left")
-    rows = rows.withColumn("__v", F.coalesce("__hot_v", "__rest_v"))
+    # Rows that need no key any more (hot, or null) get one of their hash; what it may meet by chance is not used.
+    spread = F.xxhash64(F.lit(17), *[c for c in left.columns if c != key])
+    done = F.col("__hot").isNotNull() | F.col(key).isNull()
+    rows = rows.withColumn("__key", F.when(done, spread.cast(kind)).otherwise(F.col(key)))
+    rows = rows.join(rest, F.col("__key") == F.col("__rest"), "left")
+    rows = rows.withColumn("__v", F.when(done, F.col("__hot_v")).otherwise(F.col("__rest_v")))
     return rows.select(*left.columns, *[F.col(f"__v.{c}").alias(c) for c in values])
 
 
