@@ -18,10 +18,17 @@ LEAST_SCORE = 0.1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; lang becomes the one found. Those that are ``und`` or fit no profile go."""
-    learned = langid.profiles(docs.select("text", "lang"))
+    """Documents in a known language. Those whose text is null, has no letter or fits no profile go.
+
+    Profiles are learned from the given lang of two thirds of the documents (crc32(doc_id as text) mod 3 not 1). A given
+    lang stays; a null one becomes the language found. No labelled document: all go, as nothing is known. Ties, equal
+    rows and very long texts are as in langid; no rows give no rows; all columns are kept.
+    """
+    share = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 != 1
+    learned = langid.profiles(docs.where(share).select("text", "lang"))
     found = langid.predict(docs.select(F.struct("*").alias("document"), "text"), learned).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return found.select(*[(F.col("lang_pred") if c == "lang" else F.col("document").getField(c)).alias(c) for c in docs.columns])
+    given = F.coalesce(F.col("document.lang"), F.col("lang_pred"))
+    return found.select(*[(given if c == "lang" else F.col("document").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

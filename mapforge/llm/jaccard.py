@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import connected_components, dropped, lookup, measured, temporary, whole_texts, written
+from .runtime import connected_components, dropped, lookup, maybe_among, measured, temporary, whole_texts, written
 from .textkit import BITS, Words, bitmap, is_set, mix, runs, slices
 
 if TYPE_CHECKING:
@@ -234,9 +234,10 @@ def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFr
 def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: int) -> DataFrame:
     """(node, count, component_id, part) of every node of nodes (node, n, l, prefix, text_hash, first, count), a kept table."""
     entries = nodes.select("node", "n", F.explode("prefix").alias("shingle"))
-    lists = entries.groupBy("shingle").agg(F.min("node").alias("rep"), F.min_by("n", "node").alias("n_rep"), F.count(F.lit(1)).alias("m"), F.count(F.lit(1)).alias("rows")).where("m > 1")
+    lists = entries.groupBy("shingle").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
     lists, seen = measured(lists, "jaccard-shingles", F.sum("m").alias("entries"))
-    entries = written(lookup(entries, lists, "shingle", "rows", seen["entries"] or 0).where("rep IS NOT NULL"), "jaccard-lists")
+    entries = lookup(entries, lists.withColumn("rows", F.col("m")), "shingle", "rows", seen["entries"] or 0).where("rep IS NOT NULL")
+    entries = written(entries, "jaccard-lists")
     dropped(lists)
 
     def alike(a: Column, b: Column) -> Column:
@@ -245,7 +246,10 @@ def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: in
     def candidates(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that share prefix shingles enough, with hashes of their texts, as a table."""
         sides = [nodes.select(F.col("node").alias(x), F.col("l").alias(f"l_{x}"), F.col("prefix").alias(f"p_{x}"), F.col("text_hash").alias(f"t_{x}")) for x in ("a", "b")]
-        met = pairs.distinct().join(sides[1], "b").join(sides[0], "a").where(F.size(F.array_intersect("p_a", "p_b")) >= F.least("l_a", "l_b"))
+        # Sizes first, which are small beside prefixes.
+        sizes = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in ("a", "b")]
+        pairs = pairs.distinct().join(sizes[0], "a").join(sizes[1], "b").where(alike(F.col("n_a"), F.col("n_b"))).select("a", "b")
+        met = pairs.join(sides[1], "b").join(sides[0], "a").where(F.size(F.array_intersect("p_a", "p_b")) >= F.least("l_a", "l_b"))
         return written(met.select("a", "b", "t_a", "t_b"), "jaccard-candidates")
 
     def ends(met: DataFrame) -> DataFrame:
@@ -272,7 +276,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: in
 
     # 1. In each list its least node against all others.
     others = entries.where("node != rep")
-    met = candidates(others.where(alike(F.col("n"), F.col("n_rep"))).select(F.col("rep").alias("a"), F.col("node").alias("b")))
+    met = candidates(others.select(F.col("rep").alias("a"), F.col("node").alias("b")))
     sets = _sets(docs, ends(met), k)
     parts = connected_components(links(met, sets), "a", "b")
     # 2. Lists whose other members still are in several components.
@@ -324,7 +328,9 @@ def deduplicated(documents: DataFrame, *, k: int = 5, percent: int = 80) -> Data
     Rows are told apart by doc_id and text, so an id's other texts stay in their own components, and so do
     null ids. Empty sets stay. Rows equal in a non-null doc_id and text, empty or not, are one document.
     """
-    key = lambda doc_id, text_hash: F.concat_ws(":", F.coalesce(doc_id.cast("long").cast("string"), F.lit("-")), text_hash.cast("string")).alias("key")
+    def key(text_hash: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-")), text_hash.cast("string"))
+
     with temporary(documents.sparkSession):
         placed = components(documents, k=k, percent=percent)
         keys, seen = measured(placed.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"), F.min("part").alias("part")), "jaccard-keys", F.sum("rows").alias("rows"))
@@ -333,18 +339,21 @@ def deduplicated(documents: DataFrame, *, k: int = 5, percent: int = 80) -> Data
         first = first.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash"))
         marks = keys.join(first, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")), "left")
         marks = marks.withColumn("gone", (F.col("n") > 0) & F.col("__hash").isNull()).where("gone OR rows > 1 AND (n > 0 OR doc_id IS NOT NULL)")
-        marks, left = measured(marks.select(key(F.col("doc_id"), F.col("text_hash")), "rows", "gone"), "jaccard-marks", F.count_if(~F.col("gone")).alias("repeated"), keep=True)
-    rows = documents.select(F.struct("*").alias("row"), key(F.col("doc_id"), F.xxhash64("text")))
+        marks = marks.select(key(F.col("text_hash")).alias("key"), "rows", "gone").withColumn("hash", F.xxhash64("key"))
+        marks, left = measured(marks, "jaccard-marks", F.count_if(~F.col("gone")).alias("repeated"), keep=True)
+    rows = documents.select(F.struct("*").alias("row"), key(F.xxhash64("text")).alias("key")).withColumn("hash", F.xxhash64("key"))
+    rows = maybe_among(rows, marks, "hash", "marked").select("row", "key", "marked")
+    some = rows.where("marked")  # only these are shuffled
 
-    def marked(of: DataFrame) -> list[DataFrame]:
+    def parted(of: DataFrame) -> list[DataFrame]:
         """The keys of hot rows (fewer than a thousand, so they are broadcast) and of all others."""
         return [F.broadcast(of.where(F.col("rows") * 1000 > total).select("key")), of.where(F.col("rows") * 1000 <= total).select("key")]
 
-    hot, rest = marked(marks)
-    kept = rows.join(hot, "key", "left_anti").join(rest, "key", "left_anti").select("row")
+    hot, rest = parted(marks)
+    kept = rows.where("NOT marked").select("row").unionByName(some.join(hot, "key", "left_anti").join(rest, "key", "left_anti").select("row"))
     if left["repeated"]:
-        hot, rest = marked(marks.where("NOT gone"))
-        again = rows.join(hot, "key", "left_semi").unionByName(rows.join(rest, "key", "left_semi"))
+        hot, rest = parted(marks.where("NOT gone"))
+        again = some.join(hot, "key", "left_semi").unionByName(some.join(rest, "key", "left_semi"))
         # min_by adds up before the shuffle, so many equal rows never meet in one task.
         kept = kept.unionByName(again.groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row"))
     return kept.select("row.*")

@@ -210,11 +210,17 @@ def find_pii(documents: DataFrame, threshold: float = 0.9, keep_text: bool = Tru
     """documents (without text, if that isn't kept) with ``spans``: array<struct(kind, start, end, base)> ordered by start, then kind as in KINDS.
 
     The candidates of all documents are written to the scratch folder (a few numbers a span), from which
-    the labelers' reliabilities are estimated and the result is read.
+    the labelers' reliabilities are estimated. With text, candidates are found again for the result, so that
+    no second copy of all texts is written; without it, the result is read from that table.
     """
-    found = candidates(documents)
-    kept = written(found if keep_text else found.drop("text"), "pii-candidates")
-    start, weights = classifier(kept.select(F.inline("__spans")))
+    found = candidates(documents.select(*[F.col(f"`{c}`").alias(c) for c in documents.columns]))
+    if keep_text:
+        # Of the outer form Spark infers no filter by size, which would search every text twice.
+        kept, spans = found, written(found.select(F.inline_outer("__spans")).where("kind IS NOT NULL"), "pii-spans")
+    else:
+        kept = written(found.drop("text"), "pii-candidates")
+        spans = kept.select(F.inline("__spans"))
+    start, weights = classifier(spans)
     known = F.from_json(F.lit(json.dumps(weights)), "map<string,double>")
     odds = lambda s: F.aggregate(_features(s), F.lit(float(start)), lambda t, f: t + F.coalesce(F.try_element_at(known, f), F.lit(0.0)))
     order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])

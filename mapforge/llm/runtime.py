@@ -213,6 +213,30 @@ def lookup(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> D
     return rows.select(*left.columns, *[F.col(f"__v.{c}").alias(c) for c in values])
 
 
+#: Rows of a table of bits that is broadcast (4 MB, whatever the input), and 64-bit words in each.
+_BIT_ROWS, _BIT_WORDS = 8192, 64
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, hashed: str, name: str) -> DataFrame:
+    """rows with a boolean column name: false where no row of keys has the same 64-bit hash, else nearly always true.
+
+    The hashes set bits of a table of fixed size, which is broadcast; so rows that can have no partner in keys are
+    told from the others without a shuffle. The more keys, the more others are true as well: it only spares work.
+    """
+    def place(df: DataFrame) -> tuple[Column, Column, Column]:
+        h = F.pmod(df[hashed], F.lit(_BIT_ROWS * _BIT_WORDS * 64))
+        return (h % _BIT_ROWS).cast("int"), (F.floor(h / _BIT_ROWS) % _BIT_WORDS).cast("int"), F.floor(h / (_BIT_ROWS * _BIT_WORDS)).cast("int")
+
+    row, word, bit = place(keys)
+    # One 64-bit word a group; both steps add up before their shuffle.
+    words = keys.select(row.alias("__row"), word.alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("__bit")).groupBy("__row", "__word").agg(F.bit_or("__bit").alias("__bits"))
+    table = words.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("__word", "__bits"))).alias("__words"))
+    row, word, bit = place(rows)
+    met = rows.withColumns({"__at": row, "__w": word, "__b": bit}).join(F.broadcast(table), F.col("__at") == F.col("__row"), "left")
+    hit = F.coalesce(F.call_function("shiftright", F.try_element_at("__words", F.col("__w")), F.col("__b")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return met.select(*rows.columns, hit.alias(name))
+
+
 def with_text(rows: DataFrame, columns: list[str]) -> DataFrame:
     """The documents in column row with their text replaced by column text, and n_chars (if they have it) counted anew."""
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
