@@ -32,23 +32,39 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8): that with the smallest doc_id."""
+    """One document of each group of near copies (five words, similarity 0.8): that with the smallest doc_id, null last.
+
+    Documents without words stay; rows equal in a non-null doc_id and text are one document; of rows that tie in
+    doc_id the text with the smaller hash stays; very long texts are hashed in pieces; no rows give no rows; all columns
+    are kept.
+    """
     return jaccard.deduplicated(docs, k=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; personal data in them gives way to its kind in angle brackets."""
-    found = pii.find_pii(docs.select(F.struct("*").alias("row"), "text"))
-    return runtime.with_text(found.select("row", pii.redact(F.col("text"), F.col("spans")).alias("text")), docs.columns)
+    """All documents; personal data in them gives way to its kind in angle brackets.
+
+    A null or empty text becomes an empty one; equal rows stay equal; spans that overlap give one mark each, in the
+    order of their starts; very long texts are searched whole; no rows give no rows; all columns are kept.
+    """
+    return pii.redacted(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes of each document; documents of which it takes none go."""
+    """What the mix takes of each document, a row for each copy, in the shuffled order of its shards.
+
+    A null or empty text has no words, so the mix takes nothing of it and it goes. Equal rows are mixed one by one; ties
+    of hashes go by doc_id; very long texts are cut at whole words; no rows give no rows; all columns are kept.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces with their places in sequences."""
+    """Every document's pieces with their places in sequences.
+
+    A null or empty text has its end id alone; equal rows are packed one by one; ties of lengths go by hash, then
+    doc_id; very long texts are encoded in parts; no rows give no rows; other columns are ignored.
+    """
     return packing.pack(docs)
 
 

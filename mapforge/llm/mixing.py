@@ -3,15 +3,19 @@
 A document is cut into blocks of ``block_words`` words. Each source's blocks are put in a hashed
 permutation; its quota is the number of blocks (repeats counted) whose words come nearest its target.
 The quotas of all sources, an urn of coloured balls, are split in halves of exact size again and
-again by multivariate hypergeometric draws until each leaf is one output shard. A shard's draws from
-a source are the next positions of that source's permutation, so shards are disjoint and together
-take the quota exactly. Inside a shard blocks are ordered by another hash: a local shuffle.
+again by multivariate hypergeometric draws until each leaf is one output shard. A leaf's quota of a
+source is a range of positions in that source's permutation, and what lies in no leaf is not drawn: what the mix
+takes is what the leaves draw. Shards are disjoint and together take the quota exactly. Inside a shard
+rows are ordered by another hash: a local shuffle. The levels of the tree are dealt over tasks by node,
+and positions meet their leaf by an equi-join on stretches of positions, so neither sources nor shards
+are gathered in a row of their own beyond one node's urn (one number a source).
 
 Only DataFrame functions; every draw is a function of the seed, so reruns agree.
 
 Defined results: a null text has size 0; null sources form one source, last in order; a source of
-size 0 has target 0; rows equal in doc_id, source and text are told apart by a running number;
-no rows give no rows; other columns are ignored.
+size 0 has target 0; rows equal in doc_id, source and text are told apart by a running number; ties of the
+hash go by doc_id, then text; very long texts are many blocks, dealt like others; no rows give no rows; other
+columns are ignored (mixed_documents keeps them).
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import let, ranked, with_text, written
+from .runtime import let, lookup, measured, ranked, with_text, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["doc_id", "source", "size", "text_hash"]
@@ -46,7 +50,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: floa
     """
     everything = Window.partitionBy()
     by_name = Window.partitionBy().orderBy(F.col("source").asc_nulls_last())
-    s = sizes.withColumn("sid", F.row_number().over(by_name) - 1)
+    s = sizes.withColumn("sid", (F.row_number().over(by_name) - 1).cast("long"))
     s = s.withColumn("w", F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("sid") % len(weights) + 1).cast("int")))
     s = s.withColumn("cap", F.col("source_size") * F.lit(float(most))).withColumn("fills_at", F.col("cap") / F.col("w"))
     by_cap = Window.partitionBy().orderBy("fills_at", "sid").rowsBetween(Window.unboundedPreceding, -1)
@@ -112,7 +116,9 @@ def split(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     """(shard, sid, quota) from (sid, quota): the splitting tree. Shard sizes differ by one block at most."""
     urn = quotas.groupBy().agg(F.sort_array(F.collect_list(F.struct("sid", F.col("quota").cast("long").alias("quota")))).alias("balls"), F.sum("quota").alias("all"))
     nodes = urn.where("all > 0").select(F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "balls", "all")
-    for _ in range(max(0, math.ceil(math.log2(shards)))):
+    for level in range(max(0, math.ceil(math.log2(shards)))):
+        if level in (6, 12):
+            nodes = nodes.repartition("lo")
         mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
         upto = lambda k: F.floor(k * F.col("all") / shards)
         nodes = nodes.withColumn("mid", mid).withColumn("draws", (upto(F.col("mid")) - upto(F.col("lo"))).cast("long"))
@@ -126,7 +132,7 @@ def split(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
             ))[0]
 
         total = F.aggregate("balls", F.lit(0).cast("long"), lambda t, b: t + b["quota"])
-        start = F.struct(total.alias("population"), F.col("draws"), F.array().cast("array<struct<sid:int,quota:bigint>>").alias("out"))
+        start = F.struct(total.alias("population"), F.col("draws"), F.array().cast("array<struct<sid:bigint,quota:bigint>>").alias("out"))
         left = F.aggregate("balls", start, draw, lambda t: t["out"])
         nodes = nodes.withColumn("left", F.when(F.col("hi") - F.col("lo") > 1, left))
         right = F.zip_with("balls", "left", lambda b, l: F.struct(b["sid"].alias("sid"), (b["quota"] - l["quota"]).alias("quota")))
@@ -168,59 +174,59 @@ def mix(
         .select("sid", *KEY, "rep", "block", "words", "whole", "more", "source_blocks", "h")
     )
     placed = ranked(blocks, ["sid"], "h", ["doc_id", "text_hash", "rep", "block"], weight="words")
-    extra = F.col("before") + F.col("words") / 2 < F.col("more")
-    at = F.concat(
-        F.transform(F.when(F.col("whole") > 0, F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).otherwise(F.array().cast("array<bigint>")), lambda c: F.struct(c.alias("copy"), (c * F.col("source_blocks") + F.col("rank")).alias("position"))),
-        F.when(extra, F.array(F.struct(F.col("whole").alias("copy"), (F.col("whole") * F.col("source_blocks") + F.col("rank")).alias("position")))).otherwise(F.array().cast("array<struct<copy:bigint,position:bigint>>")),
-    )
-    taken = placed.select("sid", *KEY, "rep", "block", "words", F.inline(at))
-    taken = written(taken, "mix-taken")
-    quotas = taken.groupBy("sid").agg(F.count(F.lit(1)).alias("quota"))
-    total = taken.count()
-    shards = 1 << max(1, math.ceil(math.log2(max(1, total / blocks_per_shard))))
+    extra = (F.col("before") + F.col("words") / 2 < F.col("more")).alias("extra")
+    placed = written(placed.select("sid", *KEY, "rep", "block", "words", "whole", "source_blocks", "rank", extra), "mix-placed")
+    quota = F.max("whole") * F.max("source_blocks") + F.count_if("extra")
+    quotas, seen = measured(placed.groupBy("sid").agg(quota.alias("quota"), F.max("source_blocks").alias("blocks")), "mix-quotas", F.sum("quota").alias("quota"), F.sum("blocks").alias("blocks"))
+    shards = 1 << max(1, math.ceil(math.log2(max(1, (seen["quota"] or 0) / blocks_per_shard))))
     per_source = Window.partitionBy("sid").orderBy("shard")
-    ends = split(quotas, shards, seed).withColumn("end", F.sum("quota").over(per_source))
-    ends = ends.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("shard", "end"))).alias("ends"))
-    ends = written(ends, "mix-shards")
-    # The first shard whose end lies beyond the position, by bisection.
-    bisect = F.aggregate(
-        F.sequence(F.lit(1), F.lit(max(1, int(math.log2(shards))))), F.struct(F.lit(0).alias("lo"), F.lit(shards - 1).alias("hi")),
-        lambda t, _: F.transform(F.array(F.floor((t["lo"] + t["hi"]) / 2).cast("int")), lambda m: F.when(F.get(F.col("ends"), m)["end"] > F.col("position"), F.struct(t["lo"].alias("lo"), m.alias("hi"))).otherwise(F.struct((m + 1).alias("lo"), t["hi"].alias("hi"))))[0],
-        lambda t: t["hi"],
-    )
-    dealt = taken.join(ends, "sid").select("sid", *KEY, "rep", "block", "words", "copy", "position", bisect.alias("shard"), F.xxhash64(F.lit(seed + 1), "position", "sid").alias("shuffle_key"))
-    return Mix(docs.select(*KEY, "rep", "sid", "source_size", "target"), dealt)
+    leaves = split(quotas, shards, seed).where("quota > 0").withColumn("end", F.sum("quota").over(per_source))
+    leaves = leaves.select("sid", "shard", (F.col("end") - F.col("quota")).alias("start"), "end")
+    # A source's positions in stretches as long as its leaves are on average, so few leaves meet in one.
+    stretch = F.greatest(F.lit(1).cast("long"), F.floor(F.col("quota") / shards)).alias("stretch")
+    leaves = leaves.join(quotas.select("sid", stretch), "sid").select("sid", "shard", "start", "end", F.explode(F.sequence(F.floor(F.col("start") / F.col("stretch")), F.floor((F.col("end") - 1) / F.col("stretch")))).alias("at"))
+    leaves = written(leaves, "mix-leaves")
+    drawn = lookup(placed, quotas.select("sid", "quota", stretch, "blocks"), "sid", "blocks", seen["blocks"] or 0).where("rank < quota")
+    copies = F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1 - F.col("rank")) / F.col("source_blocks")))
+    drawn = drawn.withColumn("copy", F.explode(copies)).withColumn("position", F.col("copy") * F.col("source_blocks") + F.col("rank"))
+    drawn = drawn.withColumn("at", F.floor(F.col("position") / F.col("stretch"))).join(leaves, ["sid", "at"]).where("start <= position AND position < end")
+    drawn = drawn.select("sid", *KEY, "rep", "block", "words", "copy", "position", "shard", F.xxhash64(F.lit(seed + 1), "position", "sid").alias("shuffle_key"))
+    return Mix(docs.select(*KEY, "rep", "sid", "source_size", "target"), drawn)
 
 
 def taken_words(mixed: Mix) -> DataFrame:
-    """doc_id, size, source_size, target and the words that the mix takes of each document row."""
+    """doc_id, size, source_size, target, the words that the shards draw of each document row, and these shards (numbers, comma-joined)."""
     key = [*KEY, "rep", "sid"]
-    none = mixed.documents.select(*key, "source_size", "target", F.lit(0).cast("long").alias("words"))
-    some = mixed.blocks.select(*key, F.lit(None).cast("long").alias("source_size"), F.lit(None).cast("double").alias("target"), "words")
-    return none.unionByName(some).groupBy(*key).agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("words").alias("taken")).select(
-        "doc_id", "size", "source_size", "target", "taken"
-    )
+    none = mixed.documents.select(*key, "source_size", "target", F.lit(0).cast("long").alias("words"), F.lit(None).cast("int").alias("shard"))
+    some = mixed.blocks.select(*key, F.lit(None).cast("long").alias("source_size"), F.lit(None).cast("double").alias("target"), "words", "shard")
+    sums = [F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("words").alias("taken"), F.collect_set("shard").alias("shards")]
+    return none.unionByName(some).groupBy(*key).agg(*sums).select("doc_id", "size", "source_size", "target", "taken", F.array_join(F.sort_array("shards"), ",").alias("shards"))
 
 
 def mixed_documents(documents: DataFrame, block_words: int = 256, **options) -> DataFrame:
-    """documents as the mix takes them: a document's text becomes the blocks taken of it, those with none go.
+    """documents as the mix takes them: a row for each copy that it takes of a document, those with none go.
 
-    A document taken whole once stays as it is; otherwise its taken blocks' words follow each other, copy
-    by copy, joined by spaces, and n_chars is counted anew.
+    A copy of which all blocks are taken keeps its text; otherwise the text is that of its taken blocks, in their
+    order, with the white space between their words as it was, and n_chars is counted anew. Rows come shard by
+    shard (that of a copy's first block), in each shard in the order of the local shuffle.
     """
-    key = [*KEY, "rep"]
     mixed = mix(documents, block_words=block_words, **options)
-    picks = mixed.blocks.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("copy", "block"))).alias("picks"))
-    picks = picks.groupBy(*KEY).agg(F.collect_list("picks").alias("picks")).withColumnsRenamed({k: f"k_{k}" for k in KEY})
+    picks = mixed.blocks.groupBy(*KEY, "rep", "copy").agg(F.sort_array(F.collect_list(F.struct("block", "shard", "shuffle_key"))).alias("picks"))
+    picks = picks.groupBy(*KEY, "rep").agg(F.collect_list("picks").alias("copies")).groupBy(*KEY).agg(F.collect_list("copies").alias("rows")).withColumnsRenamed({k: f"k_{k}" for k in KEY})
     text = F.coalesce("text", F.lit(""))
-    rows = documents.select(F.struct("*").alias("row"), "text", "doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64("text").alias("text_hash"))
+    others = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"]).alias("row")
+    rows = documents.select(others, "text", "doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64("text").alias("text_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("k_doc_id")) & F.col("source").eqNullSafe(F.col("k_source")) & (F.col("size") == F.col("k_size")) & (F.col("text_hash") == F.col("k_text_hash"))
     met = rows.join(picks, same)
     # Rows equal in all of the key: each takes the blocks of another of them.
     number = Window.partitionBy("k_doc_id", "k_source", "k_size", "k_text_hash").orderBy(F.lit(1))
-    one = met.where(F.size("picks") == 1).withColumn("mine", F.col("picks")[0])
-    several = met.where(F.size("picks") > 1).withColumn("number", F.row_number().over(number)).where(F.col("number") <= F.size("picks"))
-    out = one.unionByName(several.withColumn("mine", F.get("picks", F.col("number") - 1)).drop("number"))
-    whole = (F.size("mine") == F.ceil(F.col("size") / block_words)) & (F.element_at("mine", -1)["copy"] == 0)
-    cut = let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.array_join(F.transform("mine", lambda p: F.array_join(F.slice(w, (p["block"] * block_words + 1).cast("int"), F.lit(block_words)), " ")), " "))
-    return with_text(out.select("row", F.when(whole, F.col("text")).otherwise(cut).alias("text")), documents.columns)
+    one = met.where(F.size("rows") == 1).withColumn("mine", F.col("rows")[0])
+    several = met.where(F.size("rows") > 1).withColumn("number", F.row_number().over(number)).where(F.col("number") <= F.size("rows"))
+    out = one.unionByName(several.withColumn("mine", F.get("rows", F.col("number") - 1)).drop("number"))
+    out = out.select("row", "text", "size", F.explode("mine").alias("mine"))
+    whole = F.size("mine") == F.ceil(F.col("size") / block_words)
+    # Each word with the white space before it: joined again, they are the text.
+    cut = let(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), lambda w: F.array_join(F.transform("mine", lambda p: F.array_join(F.slice(w, (p["block"] * block_words + 1).cast("int"), F.lit(block_words)), "")), ""))
+    cut = F.regexp_replace(cut, r"^[\x20\x09-\x0D]+", "")
+    out = out.select("row", F.when(whole, F.col("text")).otherwise(cut).alias("text"), F.col("mine")[0]["shard"].alias("shard"), F.col("mine")[0]["shuffle_key"].alias("shuffle_key"))
+    return with_text(out.repartition("shard").sortWithinPartitions("shard", "shuffle_key"), documents.columns)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import let, written
+from .runtime import let, with_text, written
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 #: Kind: (pattern, what a text must match to be searched). \G allows a start where the last match ended.
@@ -209,24 +209,33 @@ def classifier(spans: DataFrame) -> tuple[float, dict[str, float]]:
 def find_pii(documents: DataFrame, threshold: float = 0.9, keep_text: bool = True) -> DataFrame:
     """documents (without text, if that isn't kept) with ``spans``: array<struct(kind, start, end, base)> ordered by start, then kind as in KINDS.
 
-    The candidates of all documents are written to the scratch folder (a few numbers a span), from which
-    the labelers' reliabilities are estimated. With text, candidates are found again for the result, so that
-    no second copy of all texts is written; without it, the result is read from that table.
+    The candidates of all documents are written to the scratch folder (without text: a few numbers a span), from
+    which the labelers' reliabilities are estimated and the result is read.
     """
-    found = candidates(documents.select(*[F.col(f"`{c}`").alias(c) for c in documents.columns]))
-    if keep_text:
-        # Of the outer form Spark infers no filter by size, which would search every text twice.
-        kept, spans = found, written(found.select(F.inline_outer("__spans")).where("kind IS NOT NULL"), "pii-spans")
-    else:
-        kept = written(found.drop("text"), "pii-candidates")
-        spans = kept.select(F.inline("__spans"))
-    start, weights = classifier(spans)
+    found = candidates(documents)
+    kept = written(found if keep_text else found.drop("text"), "pii-candidates")
+    return _chosen(kept, kept.select(F.inline("__spans")), threshold)
+
+
+def redacted(documents: DataFrame, threshold: float = 0.9) -> DataFrame:
+    """documents with each span in text replaced by redact(). Candidates are found twice, so that no second copy of all texts is written."""
+    rows = documents.select(F.struct("*").alias("row"), "text")
+    found = candidates(rows)
+    # Of the outer form Spark infers no filter by size, which would search every text once more.
+    spans = written(found.select(F.inline_outer("__spans")).where("kind IS NOT NULL"), "pii-spans")
+    chosen = _chosen(found, spans, threshold)
+    return with_text(chosen.select("row", redact(F.col("text"), F.col("spans")).alias("text")), documents.columns)
+
+
+def _chosen(found: DataFrame, training: DataFrame, threshold: float) -> DataFrame:
+    """found with the base spans and those that the classifier trained on all candidates accepts."""
+    start, weights = classifier(training)
     known = F.from_json(F.lit(json.dumps(weights)), "map<string,double>")
     odds = lambda s: F.aggregate(_features(s), F.lit(float(start)), lambda t, f: t + F.coalesce(F.try_element_at(known, f), F.lit(0.0)))
     order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
     chosen = F.filter("__spans", lambda s: s["base"] | (odds(s) >= math.log(threshold / (1 - threshold))))
     spans = F.transform(F.array_sort(F.transform(chosen, lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("o"), s["end"].alias("end"), s["kind"].alias("kind"), s["base"].alias("base")))), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base")))
-    return kept.withColumn("spans", F.when(F.size("__spans") > 0, spans).otherwise(F.array().cast("array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"))).drop("__spans")
+    return found.withColumn("spans", F.when(F.size("__spans") > 0, spans).otherwise(F.array().cast("array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"))).drop("__spans")
 
 
 def joined(spans: Column) -> Column:
