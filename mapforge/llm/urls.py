@@ -2,16 +2,19 @@
 
 Host names run words together. A unigram model, counted over the visible text of all pages, splits each
 piece of a host by Viterbi into the likeliest words. A URL's tokens are these words, the host's labels
-and the path's words (numbers count as one token). URLs whose host has a seed term teach ``block``, all
-others ``allow``; multinomial naive Bayes over all URLs' tokens then scores every URL, so words that keep
-company with seed terms count as well.
+and the path's words (numbers count as one token). The URLs that a rule judges are the labelled ones: their
+verdicts teach multinomial naive Bayes over tokens, which then scores every URL, so what a rule blocks in one
+place counts against its like in others.
 
 Nothing that grows is broadcast: the unigrams that a piece needs are found by a join on its substrings,
 token weights by a join on tokens, with the most frequent tokens (a bounded number) looked up apart.
 
 Defined results: a null url or one without ``://`` has an empty host and path and is judged by the prior;
 equal urls get equal verdicts; the longest fitting rule wins, of equally long ones the first by code
-point; without a seed term in any host all is allowed; no rows give no rows; other columns are ignored.
+point; tokens that no labelled URL has count for nothing; a score of 0 or less allows, and without labelled
+URLs of both verdicts the method allows all; a run of letters longer than a host name may be (253) is one word;
+equally likely splits go to the one whose last word is longest; very long urls are tokens like others; no rows
+give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,14 +25,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import lookup, written
+from .runtime import lookup, measured, written
 
-#: Host words that mark a URL as unwanted when the classifier is trained.
-SEEDS = (
-    "ad", "ads", "adult", "bet", "bets", "casino", "cheap", "crack", "escort", "free", "gambling", "jackpot", "loan", "loans",
-    "pill", "pills", "poker", "porn", "sex", "slots", "spam", "track", "tracker", "viagra", "warez", "win", "xxx",
-)
-LONGEST = 24
+#: Host names have at most so many characters (RFC 1035).
+HOST = 253
 
 
 def host_of(url: Column) -> Column:
@@ -58,75 +57,80 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> tuple[Column,
 
 def viterbi(piece: str, counts: dict[str, int], total: int) -> list[str]:
     """The likeliest words that make up piece; an unknown word of n letters has probability 10 / (total * 10^n)."""
-    log_total = math.log(max(total, 1))
-    best = [(0.0, 0)]
+    log_total, ten = math.log(max(total, 1)), math.log(10)
+    longest = max(map(len, counts), default=0)
+    best, back = [0.0], [0]
+    unknown, since = 0.0, 0  # the best start of an unknown word: largest best[start] + start * ten
     for end in range(1, len(piece) + 1):
-        found = None
-        for start in range(max(0, end - LONGEST), end):
-            n = counts.get(piece[start:end], 0)
-            p = math.log(n) - log_total if n else (1 - (end - start)) * math.log(10) - log_total
-            if found is None or best[start][0] + p > found[0]:
-                found = best[start][0] + p, start
-        best.append(found)
+        score, start = unknown + (1 - end) * ten - log_total, since
+        for at in range(max(0, end - longest), end):
+            n = counts.get(piece[at:end], 0)
+            if n and (p := best[at] + math.log(n) - log_total) > score:
+                score, start = p, at
+        best.append(score)
+        back.append(start)
+        if score + end * ten > unknown:
+            unknown, since = score + end * ten, end
     words, end = [], len(piece)
     while end:
-        words.append(piece[best[end][1] : end])
-        end = best[end][1]
+        words.append(piece[back[end] : end])
+        end = back[end]
     return words[::-1]
 
 
 def unigrams(pages: DataFrame) -> DataFrame:
-    """(word, n): lower-case a-z words of all pages' visible text."""
+    """(word, n): lower-case a-z words of all pages' visible text, as long as a host name may be."""
     text = F.lower(F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", " "))
-    words = pages.select(F.explode(F.regexp_extract_all(text, F.lit(r"[a-z]{1,%d}+(?![a-z])" % LONGEST), F.lit(0))).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = pages.select(F.explode(F.regexp_extract_all(text, F.lit("[a-z]++"), F.lit(0))).alias("word"))
+    return words.where(F.length("word") <= HOST).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def segmented(hosts: DataFrame, words: DataFrame) -> DataFrame:
-    """(host, words): the words of each distinct host's pieces, by the unigram counts (word, n)."""
-    total = words.agg(F.sum("n")).first()[0] or 0
-    pieces = hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit("[a-z]+"), F.lit(0))).alias("at", "piece"))
+    """(host, words): the words of each distinct host's pieces, by the unigram counts (word, n), a written table."""
+    seen = words.agg(F.sum("n"), F.max(F.length("word"))).first()
+    total, longest = seen[0] or 0, seen[1] or 1
+    pieces = hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit("[a-z]++"), F.lit(0))).alias("at", "piece"))
     distinct = pieces.select("piece").distinct()
     length = F.char_length("piece")
-    starts = distinct.select("piece", F.explode(F.sequence(F.lit(1), length)).alias("s"), length.alias("l"))
-    parts = starts.select("piece", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.col("l") - F.col("s") + 1)), lambda k: F.substring(F.col("piece"), F.col("s"), k))).alias("word")).distinct()
+    starts = distinct.where(length <= HOST).select("piece", F.explode(F.sequence(F.lit(1), length)).alias("s"), length.alias("l"))
+    parts = starts.select("piece", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("l") - F.col("s") + 1)), lambda k: F.substring(F.col("piece"), F.col("s"), k))).alias("word")).distinct()
     known = parts.join(words, "word").groupBy("piece").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("known"))
 
     @F.pandas_udf("array<string>")
     def cut(piece: pd.Series, counts: pd.Series) -> pd.Series:
-        return pd.Series([viterbi(p, dict(c) if c is not None else {}, total) for p, c in zip(piece, counts, strict=True)])
+        return pd.Series([[p] if len(p) > HOST else viterbi(p, dict(c) if c is not None else {}, total) for p, c in zip(piece, counts, strict=True)])
 
     split = distinct.join(known, "piece", "left").select("piece", cut("piece", "known").alias("words"))
     both = pieces.join(split, "piece").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("at", "words"))).alias("p"))
     return both.select("host", F.flatten(F.col("p.words")).alias("words"))
 
 
-def judge(pages: DataFrame, rules: dict[str, str], seeds: tuple[str, ...] = SEEDS) -> DataFrame:
+def judge(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
     """page_id, host, path, rule, verdict, score (the classifier's log odds of block) of (page_id, url, html)."""
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).withColumn("k", F.sha2(F.concat_ws("\u0000", "host", "path"), 256))
-    urls = written(rows.groupBy("k").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.count(F.lit(1)).alias("n")), "urls")
+    urls = rows.groupBy("k").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.count(F.lit(1)).alias("n"))
+    urls, seen = measured(urls, "urls", F.sum("n").alias("pages"))
     hosts = urls.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    named = written(hosts.select("host", "n").join(segmented(hosts.select("host"), unigrams(pages)), "host", "left"), "url-hosts")
-    n_urls = urls.count()
-    known = lookup(urls.withColumnRenamed("n", "pages"), named, "host", "n", n_urls)
-    path_words = F.regexp_extract_all(F.lower("path"), F.lit(r"[a-z]+|[0-9]+"), F.lit(0))
+    named = written(hosts.join(segmented(hosts.select("host"), written(unigrams(pages), "url-unigrams")), "host", "left"), "url-hosts")
+    known = lookup(urls.withColumnRenamed("n", "pages"), named, "host", "n", seen["n"])
+    path_words = F.regexp_extract_all(F.lower("path"), F.lit(r"[a-z]++|[0-9]++"), F.lit(0))
     labels = F.transform(F.filter(F.split("host", r"\."), lambda x: x != ""), lambda x: F.concat(F.lit("."), x))
     tokens = F.concat(F.coalesce("words", F.array().cast("array<string>")), labels, F.transform(path_words, lambda w: F.when(w.rlike("^[0-9]"), "/#").otherwise(F.concat(F.lit("/"), w))))
-    marked = F.arrays_overlap(F.coalesce("words", F.array().cast("array<string>")), F.array(*[F.lit(s) for s in seeds])).cast("int")
-    held = written(known.select("k", "pages", marked.alias("block"), F.explode(tokens).alias("token")), "url-tokens")
-    counts = held.groupBy("token").agg(
-        F.sum(F.col("pages") * F.col("block")).alias("b"), F.sum(F.col("pages") * (1 - F.col("block"))).alias("a"), F.count(F.lit(1)).alias("n")
-    )
-    counts = written(counts, "url-counts")
-    t = counts.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.coalesce(F.sum("a"), F.lit(0)).alias("a"), F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    docs = known.agg(F.coalesce(F.sum(F.col("pages") * marked), F.lit(0)).alias("b"), F.coalesce(F.sum("pages"), F.lit(0)).alias("all")).first()
-    prior = math.log((docs["b"] + 1) / (docs["all"] - docs["b"] + 1))
+    verdict = rule_of(F.col("host"), F.col("path"), rules)[1]
+    block = F.when(verdict.isNotNull(), (verdict == "block").cast("int")).alias("block")
+    held = written(known.select("k", "pages", block, F.explode(tokens).alias("token")), "url-tokens")
+    b, a = F.coalesce(F.col("pages") * F.col("block"), F.lit(0)), F.coalesce(F.col("pages") * (1 - F.col("block")), F.lit(0))
+    counts = held.groupBy("token").agg(F.sum(b).alias("b"), F.sum(a).alias("a"), F.count(F.lit(1)).alias("n"))
+    taught = F.col("b") + F.col("a") > 0
+    counts, t = measured(counts, "url-counts", F.sum("b").alias("b"), F.sum("a").alias("a"), F.count_if(taught).alias("v"), F.sum("n").alias("tokens"))
+    t = {name: value or 0 for name, value in t.items()}
+    docs = urls.select(F.col("n").alias("pages"), block).agg(F.coalesce(F.sum(b), F.lit(0)).alias("b"), F.coalesce(F.sum(a), F.lit(0)).alias("a")).first()
+    prior = math.log((docs["b"] + 1) / (docs["a"] + 1))
     weight = F.log((F.col("b") + 1) / (t["b"] + t["v"] + 1)) - F.log((F.col("a") + 1) / (t["a"] + t["v"] + 1))
-    weights = counts.select("token", "n", weight.alias("w"))
-    scores = lookup(held.select("k", "token"), weights, "token", "n", t["n"]).groupBy("k").agg(F.sum("w").alias("s"))
+    weights = counts.where(taught).select("token", "n", weight.alias("w"))
+    scores = lookup(held.select("k", "token"), weights, "token", "n", t["tokens"]).groupBy("k").agg(F.sum("w").alias("s"))
     scores = urls.select("k", F.col("n")).join(scores, "k", "left").select("k", "n", (F.coalesce("s", F.lit(0.0)) + prior).alias("score"))
-    judged = lookup(rows, scores, "k", "n", pages.count())
+    judged = lookup(rows, scores, "k", "n", seen["pages"] or 0)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    no_seed = F.lit(docs["b"] == 0)
-    method = F.when((F.col("score") > 0) & ~no_seed, "block").otherwise("allow")
+    method = F.when((F.col("score") > 0) & F.lit(docs["b"] > 0 and docs["a"] > 0), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "score")
