@@ -1,10 +1,11 @@
 """WARC archives with an index: written by executors, read by coalesced byte ranges.
 
 Writing: every record is a gzip member of its own, so it can be read by itself. Each task writes one
-archive under a name of its attempt and returns the index rows of its records; the index table is
-the commit: an archive of a failed attempt is in no index row and is never read. Records with equal
-payloads of at least ``min_bytes``: the one of the largest page_id is the response, others are
-revisits that refer to it and carry no payload.
+archive under a name of its attempt, a warcinfo record first, and returns the index rows of its records; the
+index table is the commit: an archive of a failed attempt is in no index row and is never read. A response's
+block is an HTTP head and the payload, as readers of WARC 1.1 expect; record ids are UUIDs. Records with equal
+payloads (by SHA-1, SHA-256 and length) of at least ``min_bytes``: the one of the largest page_id is the response,
+others are revisits that refer to it and carry the HTTP head alone.
 
 Reading: the wanted index rows are sorted by archive and offset, ranges that follow each other (or
 leave a gap of at most ``gap``) are fetched as one read of at most ``most`` bytes, and each record is
@@ -12,8 +13,9 @@ parsed from its headers.
 
 Archives go through pyarrow's file systems (file, s3, gs, hdfs), in the shared scratch folder.
 
-Defined results: a null html is an empty payload; a null url is written as an empty target and read
-as null; a null page_id is below all others; rows equal in page_id and payload are all responses;
+Defined results: a null html is an empty payload; a null url is written as the target urn:x-page:<page_id> and
+read as null; a null page_id is below all others; rows equal in page_id and payload are all responses, of one
+record id; urls keep characters that a header cannot hold (they are quoted there and given in full beside it);
 very long payloads take one record's memory; no rows give no archive; other columns are ignored.
 """
 
@@ -22,9 +24,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import json
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from datetime import UTC, datetime
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -52,10 +57,9 @@ def typed(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": digest(F.col("payload"))})
-    many = rows.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
-    key = F.concat_ws(":", "payload_digest", "payload_bytes")
-    many = written(many.where("n > 1").select(key.alias("k"), "last", "n"), "warc-copies")
-    rows = lookup(rows.withColumn("k", key), many, "k", "n", pages.count())
+    rows = rows.withColumn("k", F.concat_ws(":", "payload_digest", "payload_bytes", F.sha2("payload", 256)))
+    many = rows.where(F.col("payload_bytes") >= min_bytes).groupBy("k").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    rows = lookup(rows, written(many.where("n > 1"), "warc-copies"), "k", "n", pages.count())
     revisit = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     return rows.select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
@@ -71,17 +75,39 @@ def _filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def _header(row: dict) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {row['record_type']}", f"WARC-Record-ID: <urn:x-page:{'' if row['page_id'] is None else row['page_id']}>", "WARC-Date: 1970-01-01T00:00:00Z"]
-    if row["url"] is not None:
-        lines.append("WARC-Target-URI: " + row["url"].replace("\\", "\\\\").replace("\r", "\\r").replace("\n", "\\n"))
-    lines += [f"WARC-Payload-Digest: sha1:{row['payload_digest']}", f"X-Payload-Length: {row['payload_bytes']}"]
-    size = row["payload_bytes"]
-    if row["record_type"] == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:x-page:{row['refers_to']}>"]
-        size = 0
-    lines += ["Content-Type: text/html", f"Content-Length: {size}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n"
+def _record_id(page_id: int | None, payload_digest: str, payload_bytes: int) -> str:
+    """The id of a page's response: known to revisits without a look at the archive that holds it."""
+    return uuid.uuid5(uuid.NAMESPACE_URL, f"urn:x-page:{page_id}:{payload_digest}:{payload_bytes}").urn
+
+
+def _record(fields: list[tuple[str, str]], block: bytes, level: int) -> bytes:
+    """A record as a gzip member."""
+    gz = zlib.compressobj(level, zlib.DEFLATED, 31)
+    head = "WARC/1.1\r\n" + "".join(f"{name}: {value}\r\n" for name, value in [*fields, ("Content-Length", str(len(block)))])
+    return gz.compress(head.encode() + b"\r\n") + gz.compress(block) + gz.compress(b"\r\n\r\n") + gz.flush()
+
+
+def _page(row: dict, date: str, level: int) -> bytes:
+    """The record of a typed page."""
+    revisit = row["record_type"] == "revisit"
+    page = "" if row["page_id"] is None else str(row["page_id"])
+    target = f"urn:x-page:{page}" if row["url"] is None else quote(row["url"], safe="!#$%&'()*+,/:;=?@[]~")
+    fields = [
+        ("WARC-Type", row["record_type"]),
+        ("WARC-Record-ID", f"<{uuid.uuid4().urn if revisit else _record_id(row['page_id'], row['payload_digest'], row['payload_bytes'])}>"),
+        ("WARC-Date", date), ("WARC-Target-URI", target), ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
+        ("X-Page-ID", page), ("X-Payload-Length", str(row["payload_bytes"])),
+    ]
+    if target != row["url"]:
+        fields.append(("X-Target-JSON", json.dumps(row["url"])))
+    if revisit:
+        fields += [
+            ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+            ("WARC-Refers-To", f"<{_record_id(row['refers_to'], row['payload_digest'], row['payload_bytes'])}>"), ("X-Refers-To-Page-ID", str(row["refers_to"])),
+        ]
+    fields.append(("Content-Type", "application/http; msgtype=response"))
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['payload_bytes']}\r\n\r\n".encode()
+    return _record(fields, http if revisit else http + row["payload"], level)
 
 
 def _parse(member: bytes) -> dict:
@@ -93,19 +119,16 @@ def _parse(member: bytes) -> dict:
     size = int(fields["Content-Length"])
     if body[size:] != b"\r\n\r\n":
         raise ValueError("a record is cut short")
-    number = lambda name: int(x) if (x := fields[name].removeprefix("<urn:x-page:").removesuffix(">")) else None
-    url = fields.get("WARC-Target-URI")
-    if url is not None:
-        parts = url.split("\\\\")
-        url = "\\".join(p.replace("\\r", "\r").replace("\\n", "\n") for p in parts)
+    number = lambda name: int(fields[name]) if fields[name] else None
     revisit = fields["WARC-Type"] == "revisit"
-    payload = body[:size]
+    payload = body[:size].partition(b"\r\n\r\n")[2]
     claimed = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    if not revisit and (base64.b32encode(hashlib.sha1(payload).digest()).decode() != claimed or len(payload) != int(fields["X-Payload-Length"])):
+    if not revisit and (base64.b32encode(hashlib.sha1(payload).digest()).decode() != claimed or len(payload) != number("X-Payload-Length")):
         raise ValueError("a payload differs from its digest")
     return {
-        "page_id": number("WARC-Record-ID"), "url": url, "payload_bytes": int(fields["X-Payload-Length"]), "payload_digest": claimed,
-        "record_type": fields["WARC-Type"], "refers_to": number("WARC-Refers-To") if revisit else None, "payload": None if revisit else payload,
+        "page_id": number("X-Page-ID"), "url": json.loads(fields["X-Target-JSON"]) if "X-Target-JSON" in fields else fields["WARC-Target-URI"],
+        "payload_bytes": number("X-Payload-Length"), "payload_digest": claimed,
+        "record_type": fields["WARC-Type"], "refers_to": number("X-Refers-To-Page-ID") if revisit else None, "payload": None if revisit else payload,
     }
 
 
@@ -120,7 +143,7 @@ def _schema(kind: str) -> pa.Schema:
     return pa.schema([(name, types[t]) for name, t in (x.strip().split() for x in kind.split(","))])
 
 
-def _writer(folder: str, level: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _writer(folder: str, level: int, date: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     index = _schema(INDEX)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,11 +153,11 @@ def _writer(folder: str, level: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
             if out is None:
                 fs.create_dir(base, recursive=True)
                 out = fs.open_output_stream(f"{base}/{name}", compression=None, buffer_size=1 << 20)
-            gz = zlib.compressobj(level, zlib.DEFLATED, 31)
-            member = gz.compress(_header(row))
-            if row["record_type"] == "response":
-                member += gz.compress(row["payload"])
-            member += gz.compress(b"\r\n\r\n") + gz.flush()
+                info = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<{uuid.uuid4().urn}>"), ("WARC-Date", date), ("WARC-Filename", name), ("Content-Type", "application/warc-fields")]
+                member = _record(info, b"software: mapforge\r\nformat: WARC File Format 1.1\r\n", level)
+                out.write(member)
+                at = len(member)
+            member = _page(row, date, level)
             out.write(member)
             rows.append({k: row[k] for k in ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")} | {"archive": f"{folder}/{name}", "offset": at, "length": len(member)})
             at += len(member)
@@ -149,10 +172,14 @@ def _writer(folder: str, level: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
     return write
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, *, min_bytes: int = 0, level: int = 4) -> DataFrame:
-    """Write a record per page below folder (fresh in the scratch folder if None); returns the index, a written table."""
+def write_archives(pages: DataFrame, folder: str | None = None, *, min_bytes: int = 0, level: int = 4, date: str | None = None) -> DataFrame:
+    """Write a record per page below folder (fresh in the scratch folder if None); returns the index, a written table.
+
+    date is that of the records (like 2026-01-31T00:00:00Z; now if None).
+    """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     folder = folder or scratch_path(pages.sparkSession, "warc")
-    return written(typed(pages, min_bytes).mapInArrow(_writer(folder, level), INDEX), "warc-index")
+    return written(typed(pages, min_bytes).mapInArrow(_writer(folder, level, date), INDEX), "warc-index")
 
 
 def _reader(gap: int, most: int, payloads: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -205,13 +232,15 @@ def read_records(index: DataFrame, *, payloads: bool = True, gap: int = 64 << 10
 
 
 def members(data: bytes) -> Iterator[tuple[int, int]]:
-    """(offset, length) of each record of an archive's bytes: an index from nothing but the archive."""
+    """(offset, length) of each record of an archive's bytes but its warcinfo: an index from nothing but the archive."""
     at = 0
     while at < len(data):
         gz = zlib.decompressobj(31)
         stream = io.BytesIO(data[at:])
+        start = gz.decompress(stream.read(1 << 16))
         while not gz.eof:
             gz.decompress(stream.read(1 << 16))
         length = stream.tell() - len(gz.unused_data)
-        yield at, length
+        if b"\r\nWARC-Type: warcinfo\r\n" not in start.partition(b"\r\n\r\n")[0]:
+            yield at, length
         at += length
