@@ -1,7 +1,7 @@
 """Language identification by rank-order profiles of character n-grams.
 
 A profile is the most frequent n-grams of a text, by rank: n-grams of one to three characters of its
-lower-cased letters, each other run of characters being one blank. A language's profile is counted
+lower-cased letters, each other run of characters being one blank; none reaches over a blank. A language's profile is counted
 over the whole texts of all its training documents. A document goes to the language whose profile is
 least out of place: the sum over the document's n-grams of the difference of ranks, at most
 ``size`` for an n-gram that the language's profile lacks. The score is 1 minus the best distance as
@@ -12,7 +12,8 @@ documents, counts are added by Spark, and the profiles (``size`` rows a language
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is every text if
 nothing was learned; ties go to the language first by code point; equal texts get equal results;
-documents with a null lang teach nothing; very long texts are counted in pieces; other columns are kept out.
+documents with a null lang teach nothing; n-grams equally frequent rank by their characters; very long texts are
+counted in pieces; no rows give no rows and teach nothing; other columns are kept out.
 """
 
 from __future__ import annotations

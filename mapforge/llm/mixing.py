@@ -229,4 +229,6 @@ def mixed_documents(documents: DataFrame, block_words: int = 256, **options) ->
     cut = let(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), lambda w: F.array_join(F.transform("mine", lambda p: F.array_join(F.slice(w, (p["block"] * block_words + 1).cast("int"), F.lit(block_words)), "")), ""))
     cut = F.regexp_replace(cut, r"^[\x20\x09-\x0D]+", "")
     out = out.select("row", F.when(whole, F.col("text")).otherwise(cut).alias("text"), F.col("mine")[0]["shard"].alias("shard"), F.col("mine")[0]["shuffle_key"].alias("shuffle_key"))
-    return with_text(out.repartition("shard").sortWithinPartitions("shard", "shuffle_key"), documents.columns)
+    # A shard is up to four files by the upper bits of the shuffle's key, so that no task holds a whole one.
+    quarter = F.call_function("shiftrightunsigned", "shuffle_key", F.lit(62))
+    return with_text(out.repartition("shard", quarter).sortWithinPartitions("shard", "shuffle_key"), documents.columns)

@@ -58,7 +58,85 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.write_archives(df.limit(0), f"file://{tmp_path}/none").count() == 0
 
 
+def test_archives_by_another_parser(spark, tmp_path):
+    """Records as a reader that knows only the standard sees them: gzip members, named fields, an HTTP message in the block."""
+    import gzip
+    import http.client
+    import io
+    import uuid
+
+    pages = [(1, "http://a/x", "<p>é</p>"), (2, "http://a/y z", "<p>é</p>"), (3, None, None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    index = warc.write_archives(df, f"file://{tmp_path}/warc", date="2026-01-31T00:00:00Z").collect()
+    seen, kinds = {}, []
+    for path in {r["archive"].removeprefix("file://") for r in index}:
+        f = io.BytesIO(gzip.open(path).read())
+        while line := f.readline():
+            assert line == b"WARC/1.1\r\n"
+            fields = http.client.parse_headers(f)
+            block = f.read(int(fields["Content-Length"]))
+            assert f.read(4) == b"\r\n\r\n" and fields["WARC-Date"] == "2026-01-31T00:00:00Z"
+            uuid.UUID(fields["WARC-Record-ID"].strip("<>"))
+            kinds.append(fields["WARC-Type"])
+            if fields["WARC-Type"] != "warcinfo":
+                head = io.BytesIO(block)
+                assert head.readline() == b"HTTP/1.1 200 OK\r\n"
+                length = int(http.client.parse_headers(head)["Content-Length"])
+                seen[fields["WARC-Record-ID"]] = fields, head.read(), length
+    assert kinds[0] == "warcinfo" and sorted(kinds[-3:]) == ["response", "response", "revisit"]
+    for fields, payload, length in seen.values():
+        if fields["WARC-Type"] == "revisit":
+            assert payload == b"" and fields["WARC-Target-URI"] == "http://a/x"
+            fields, payload, _ = seen[fields["WARC-Refers-To"]]
+            assert fields["WARC-Target-URI"] == "http://a/y%20z"
+        else:
+            assert len(payload) == length
+        assert fields["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
 # -- 3 language
+def profiles_by_hand(texts):
+    """Language to its ranked n-grams of one to three letters, counted character by character."""
+    counts = collections.defaultdict(collections.Counter)
+    for text, lang in texts:
+        if text is not None and lang is not None:
+            counts[lang].update(grams_by_hand(text))
+    return {k: ranks_by_hand(c) for k, c in counts.items()}
+
+
+def grams_by_hand(text):
+    letters = "".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in text)
+    padded = " " + " ".join(letters.split()) + " "
+    found = collections.Counter(c for c in padded if c != " ")
+    for n in (2, 3):
+        found.update(padded[i : i + n] for i in range(len(padded) - n + 1))
+    return collections.Counter({g: c for g, c in found.items() if g.strip() and (len(g) < 3 or g[1] != " ")})
+
+
+def ranks_by_hand(counts, size=langid.SIZE):
+    number = lambda g: sum((1 if c == " " else ord(c)) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], number(x[0])))][:size]
+
+
+def test_language_by_hand(spark, docs_of):
+    """Profile, out-of-place distance and choice against brute force, on documents of four languages."""
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()]
+    rows += [(-1, "Ünïcode ÄÖ x", None), (-2, "a", "de"), (-3, "ab ab, ab!", None), (-4, "1 2 3", None)]
+    want = profiles_by_hand([(t, lang) for _, t, lang in rows])
+    learned = langid.profiles(docs_of(rows).select("text", "lang"))
+    assert {k: len(v) for k, v in learned.items()} == {k: len(v) for k, v in want.items()}
+    got = {r["doc_id"]: r for r in langid.predict(docs_of(rows), learned).collect()}
+    for doc_id, text, _ in rows:
+        own = ranks_by_hand(grams_by_hand(text or ""))
+        if not own:
+            assert (got[doc_id]["lang_pred"], got[doc_id]["score"]) == ("und", 0.0)
+            continue
+        distance = {k: sum(abs(p.index(g) - i) if g in p else langid.SIZE for i, g in enumerate(own)) for k, p in want.items()}
+        best = min(sorted(distance, key=lambda s: s.encode()), key=distance.get)
+        assert got[doc_id]["lang_pred"] == best, text
+        assert got[doc_id]["score"] == pytest.approx(1 - distance[best] / (langid.SIZE * len(own)))
+
+
 def test_language_profiles(spark, docs_of):
     en, de = "the quick brown fox jumps over the lazy dog and the cat " * 5, "der schnelle braune fuchs springt über den faulen hund und die katze " * 5
     learned = langid.profiles(docs_of([(1, en, "en"), (2, de, "de"), (3, None, "fr"), (4, "x", None)]).select("text", "lang"))
@@ -101,19 +179,64 @@ def judged_by_hand(url):
     return host, path, max(fits, key=len, default=None)
 
 
+def split_by_hand(piece, counts, total):
+    """The best of all splits into words, by their logarithms; ties go to the longer last word."""
+    import functools
+    import math
+
+    def score(word):
+        return math.log(counts[word] / total) if word in counts else math.log(10 / total) - len(word) * math.log(10)
+
+    @functools.cache
+    def best(end):
+        if not end:
+            return 0.0, ()
+        return max(((best(at)[0] + score(piece[at:end]), best(at)[1] + (piece[at:end],)) for at in range(end)), key=lambda x: x[0])
+
+    return best(len(piece))
+
+
 def test_urls(spark):
-    seen = ["http://A.Example.com/en/7x?q", "x://example.net/de/8", "x://net/de/8", "x://example.org/es/#t", "nothing", None, "://", "http://badexample.com/en/1", "http://www.freepills.example.com/fr/1", "http://nice.example.com/fr/2", "http://É.com/en/", "http://casino-one.net/x", "http://casino-one.net/x"]
-    df = spark.createDataFrame([(i, u, "<p>free pills and nice casino one example</p>" * 9, 1) for i, u in enumerate(seen)], "page_id long, url string, html string, score int")
+    """Hosts, paths, rules, words, scores and verdicts against brute force."""
+    import math
+
+    seen = ["http://A.Example.com/en/7x?q", "x://example.net/de/8", "x://net/de/8", "x://example.org/es/#t", "nothing", None, "://", "http://badexample.com/en/1", "http://www.freepills.example.com/fr/1", "http://nice.example.com/fr/2", "http://É.com/en/", "http://casino-one.net/x", "http://casino-one.net/x", "http://freecasino.org/es/3", "http://niceexample.net/de/77", "y://qqqqqq" + "a" * 30 + ".info/fr", "y://" + "z" * 300 + ".info/"]
+    html = "<p>free pills and nice casino one example</p>"
+    df = spark.createDataFrame([(i, u, html * 9, 1) for i, u in enumerate(seen)], "page_id long, url string, html string, score int")
     got = {r["page_id"]: r for r in rows_of(urls.judge(df, RULES))}
     assert len(got) == len(seen)
+    counts = {w: 9 * len(seen) for w in ("free", "pills", "and", "nice", "casino", "one", "example")}
+    parts = {}
+    for u in seen:
+        host, path, rule = judged_by_hand(u)
+        words = [w for p in re.findall("[a-z]+", host) for w in (split_by_hand(p, counts, sum(counts.values()))[1] if len(p) <= 253 else (p,))]
+        parts.setdefault((host, path), [[*words, *("." + x for x in host.split(".") if x), *("/" + ("#" if x[0].isdigit() else x) for x in re.findall("[a-z]+|[0-9]+", path.lower()))], rule, 0])[2] += 1
+    taught = {"block": collections.Counter(), "allow": collections.Counter()}
+    pages = collections.Counter()
+    for tokens, rule, n in parts.values():
+        if rule:
+            pages[RULES[rule]] += n
+            for t in tokens:
+                taught[RULES[rule]][t] += n
+    vocabulary = set(taught["block"]) | set(taught["allow"])
+    of = lambda t, k: math.log((taught[k][t] + 1) / (sum(taught[k].values()) + len(vocabulary) + 1))
+    verdicts = set()
     for i, u in enumerate(seen):
         host, path, rule = judged_by_hand(u)
         assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule), u
-        if rule:
-            assert got[i]["verdict"] == RULES[rule]
-    assert (got[8]["verdict"], got[11]["verdict"], got[9]["verdict"], got[5]["verdict"]) == ("block", "block", "allow", "allow")
+        score = math.log((pages["block"] + 1) / (pages["allow"] + 1)) + sum(of(t, "block") - of(t, "allow") for t in parts[host, path][0] if t in vocabulary)
+        assert got[i]["score"] == pytest.approx(score), u
+        assert got[i]["verdict"] == (RULES[rule] if rule else "block" if score > 0 else "allow")
+        verdicts |= set() if rule else {got[i]["verdict"]}
+    assert verdicts == {"block", "allow"}
     assert urls.judge(df.limit(0), RULES).count() == 0
     assert urls.viterbi("freepills", {"free": 9, "pills": 9, "pill": 5, "s": 1}, 100) == ["free", "pills"]
+    rng = random.Random(2)
+    for _ in range(200):
+        some = {"".join(rng.choice("ab") for _ in range(rng.randrange(1, 5))): rng.randrange(1, 50) for _ in range(6)}
+        piece = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 12)))
+        words = urls.viterbi(piece, some, 300)
+        assert "".join(words) == piece and sum(math.log(some[w] / 300) if w in some else math.log(10 / 300) - len(w) * math.log(10) for w in words) == pytest.approx(split_by_hand(piece, some, 300)[0])
 
 
 # -- 5 mixing
@@ -203,6 +326,37 @@ def test_fingerprints_are_homomorphic(spark):
     assert r["t"] == r["put"] == r["same"] and r["out"] == r["rest"]
 
 
+def test_lanes_by_hand(spark):
+    """Lanes and likeness from SHA-256, Spark's 64-bit hash and plain sums."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    texts = ["One line. Two\nthree", "One line. Two\nthree and more jazz to hear", "日本。語\n\nx 1 y", ""]
+    pieces = [["One line. ", "Two", "three"], ["One line. ", "Two", "three and more jazz ", "to hear"], ["日本。", "語", "x ", "1 ", "y"], []]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = [r["l"] for r in df.select("id", fingerprint.lanes(fingerprint.paragraphs(F.col("t"))).alias("l")).orderBy("id").collect()]
+    distinct = sorted({p for q in pieces for p in q})
+    digests = spark.createDataFrame([(p, hashlib.sha256(p.encode()).hexdigest()) for p in distinct], "p string, d string")
+    hashes = {r["p"]: (r["d"], r["h"], r["more"]) for r in digests.select("p", "d", F.xxhash64("p").alias("h"), F.array(*[F.xxhash64("d", F.lit(i)) for i in range(8, 64)]).alias("more")).collect()}
+    want = []
+    for found in pieces:
+        lanes = [0] * fingerprint.LANES
+        for p in found:
+            digest, h, more = hashes[p]
+            vector = [int(digest[i * 8 : i * 8 + 8], 16) for i in range(8)] + [x % (1 << 32) for x in more] + [1 if h >> i & 1 else -1 for i in range(64)]
+            lanes = [(a + b) % (1 << 32) for a, b in zip(lanes, vector, strict=True)]
+        want.append(lanes)
+    assert got == want and len(got[0]) == 128
+    signed = [[x - (1 << 32) if x >> 31 else x for x in lanes[64:]] for lanes in want]
+    pairs = spark.createDataFrame([(i, j, want[i], want[j]) for i in range(4) for j in range(4)], "i int, j int, a array<long>, b array<long>")
+    for r in pairs.select("i", "j", fingerprint.likeness(F.col("a"), F.col("b")).alias("x")).collect():
+        a, b = signed[r["i"]], signed[r["j"]]
+        norm = math.sqrt(sum(x * x for x in a) * sum(x * x for x in b))
+        cosine = sum(x * y for x, y in zip(a, b, strict=True)) / norm if norm else 0.0
+        assert r["x"] == pytest.approx(1.0 if r["i"] == r["j"] else max(0.0, min(0.99, cosine)))
+
+
 def test_next_document_on_a_whole_table(spark):
     got = sorted(rows_of(QUERIES["op6_fingerprints"](spark, "/root/testdata/sf0.001")), key=lambda r: r["doc_id"])
     docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect())
@@ -241,6 +395,24 @@ def test_vectors(spark, monkeypatch):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_recall_as_registered(spark):
+    """Planted pairs at cosines from 0.98 to 1, among unrelated vectors, with the registered settings."""
+    rng = np.random.default_rng(11)
+    d, n = 64, 1500
+    x = rng.standard_normal((n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = rng.standard_normal((n, d))
+    other -= (other * x).sum(axis=1, keepdims=True) * x
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = np.linspace(0.9802, 1.0, n)
+    y = cosine[:, None] * x + np.sqrt(1 - cosine**2)[:, None] * other
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([x, y]))] + [(2 * n + i, v.tolist(), 0) for i, v in enumerate(rng.standard_normal((1000, d)))]
+    part = {r["vec_id"]: r for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    found = sum(part[i]["component_id"] == part[n + i]["component_id"] for i in range(n)) / n
+    assert found >= 0.99
+    assert all(part[2 * n + i]["n_links"] == 0 for i in range(1000))
+
+
 # -- 8 n-gram Jaccard
 def linked_by_hand(rows, k, percent):
     sets = []
