@@ -88,10 +88,16 @@ def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def create(spark: SparkSession, name: str, df: DataFrame, indexed: tuple[str, ...] = ()) -> None:
-    """Write a table in place of a table or view of this name; ``indexed`` columns are noted in its properties."""
+    """Write a table in place of a table or view of this name; ``indexed`` columns are noted in its properties.
+
+    The rows are written under another name first, so a failure leaves what was there.
+    """
     name = name.lower()
+    fresh = f"{name}__writing"
+    _drop(spark, fresh)
+    df.write.format("parquet").saveAsTable(fresh)
     _drop(spark, name)
-    df.write.format("parquet").saveAsTable(name)
+    spark.sql(f"ALTER TABLE `{fresh}` RENAME TO `{name}`")
     if indexed:
         spark.sql(f"ALTER TABLE `{name}` SET TBLPROPERTIES ('indexed' = '{json.dumps(indexed)}')")
 
@@ -102,9 +108,8 @@ def optimize(spark: SparkSession, p: Prefixes = Prefixes()) -> list[str]:
     for t in tables:
         df = spark.table(t)
         if "geometry" in df.columns:
-            create(spark, f"{t}__sorted", clustered(df))
-            spark.sql(f"DROP TABLE `{t}`")
-            spark.sql(f"ALTER TABLE `{t}__sorted` RENAME TO `{t}`")
+            noted = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{t}`").collect() if r["key"] == "indexed"]
+            create(spark, t, clustered(df), tuple(json.loads(noted[0])) if noted else ())
         spark.sql(f"ANALYZE TABLE `{t}` COMPUTE STATISTICS")
     return tables
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -28,6 +30,15 @@ class Options:
     partial_relations: bool = False
     max_rings: int = 0  # relations with more rings are left out; 0: none
     limit: codec.Geometry | None = None
+    slow: float = 60.0  # relations that take as many seconds or more are reported
+
+
+#: Keeps a step's result under a name, so that what is made of it doesn't compute it again; the third argument names a column to divide it by.
+Keep = Callable[[str, DataFrame, str | None], DataFrame]
+
+
+def _lazy(name: str, df: DataFrame, by: str | None = None) -> DataFrame:
+    return df
 
 
 def read(spark: SparkSession, paths: list[str]) -> list[Elements]:
@@ -60,9 +71,44 @@ class Staging:
     def path(self, kind: str) -> str:
         return f"{self.root}/{kind}"
 
+    def _files(self, root: str):
+        """(file system, path) by Hadoop."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(root)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _there(self, root: str) -> bool:
+        files, path = self._files(root)
+        return files.exists(path)
+
     def exists(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path("coords"))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        """Whether there are elements; those of a merge that broke off between its renames are put back first."""
+        if not self._there(self.root) and self._there(f"{self.root}__previous"):
+            files, old = self._files(f"{self.root}__previous")
+            files.rename(old, self._files(self.root)[1])
+        return self._there(self.path("coords"))
+
+    def keeper(self) -> tuple[Keep, Callable[[], None]]:
+        """(Keep that writes below the folder, what deletes all that it wrote)."""
+        folder = f"{self.root}/import-{uuid.uuid4().hex}"
+
+        def keep(name: str, df: DataFrame, by: str | None = None) -> DataFrame:
+            writer = df.write.partitionBy(by) if by else df.write
+            writer.parquet(f"{folder}/{name}")
+            return self.spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+        def done() -> None:
+            files, path = self._files(folder)
+            files.delete(path, True)
+
+        return keep, done
+
+    def rejects(self) -> DataFrame:
+        """(kind, osm_id, reason) of what the last import had to leave out."""
+        return self.spark.read.parquet(self.path("rejects"))
+
+    def slow_relations(self) -> DataFrame:
+        """(osm_id, seconds) of relations that took long to build in the last import."""
+        return self.spark.read.parquet(self.path("slow"))
 
     def load(self) -> Elements:
         return Elements(*[self.spark.read.parquet(self.path(k)) for k in KINDS])
@@ -92,11 +138,13 @@ class Staging:
                 df = df.withColumn("partial", F.lit(False))
             df.write.mode("overwrite").parquet(target.path(kind))
         if target is not self:
-            fs = self.spark._jvm.org.apache.hadoop.fs
-            old, new = fs.Path(self.root), fs.Path(target.root)
-            files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            files.delete(old, True)
-            files.rename(new, old)
+            # At each moment one of the two folders is whole: see exists().
+            files, root = self._files(self.root)
+            previous = self._files(f"{self.root}__previous")[1]
+            files.delete(previous, True)
+            files.rename(root, previous)
+            files.rename(self._files(target.root)[1], root)
+            files.delete(previous, True)
 
 
 def _shaped(df: DataFrame, key: list[str], o: Options) -> DataFrame:
@@ -105,31 +153,41 @@ def _shaped(df: DataFrame, key: list[str], o: Options) -> DataFrame:
     return clip.limited(df, clip.limit_parts(df.sparkSession, o.limit), key) if o.limit else df
 
 
-def base_tables(e: Elements, m: MappingSet, o: Options = Options()) -> dict[str, DataFrame]:
-    """The declared tables of filtered elements: osm_id, geometry and the columns."""
+def base_tables(e: Elements, m: MappingSet, o: Options = Options(), keep: Keep = _lazy) -> dict[str, DataFrame]:
+    """The declared tables of filtered elements: osm_id, geometry and the columns.
+
+    Vertices are resolved once, for tagged ways and members alike, relations are built once, and each kind of element
+    is routed once. With a keep that writes, all tables are made from these results.
+    """
     points = _shaped(e.nodes.where(F.size("tags") > 0).withColumn("geometry", geo.point("lon", "lat")), ["osm_id"], o)
-    points = O.routed(points, m, "point")
+    points = keep("points", O.routed(points.select("osm_id", "tags", "geometry"), m, "point"), "table")
 
+    relations = e.relations.where(F.size("tags") > 0)
+    ways = e.ways if "partial" in e.ways.columns else e.ways.withColumn("partial", F.lit(False))
+    members = multipolygon.member_ways(relations, ways.where((F.size("tags") == 0) & ~F.col("partial")))
+    wanted = ways.where(F.size("tags") > 0).unionByName(members).select("osm_id", "tags", "refs", "partial")
+    resolved = keep("lines", O.resolve(wanted, e.coords), None)
     tagged = e.ways.where(F.size("tags") > 0).select("osm_id", "tags", "refs")
-    lined = O.resolve(tagged, e.coords).drop("refs")
-    lines = O.routed(lined.where(O.valid_line(F.col("line"))), m, "line").withColumn("geometry", geo.line("line")) if not o.max_length and not o.limit else None
-    if lines is None:
-        wanted = lined.where(O.valid_line(F.col("line")) & (F.size(routes(F.col("tags"), m.rules("line"))) > 0))
-        pieces = wanted.select("osm_id", "tags", F.posexplode(O.split_line(F.col("line"), o.max_length) if o.max_length else F.array("line")).alias("piece", "line"))
-        lines = O.routed(_shaped(pieces.select("osm_id", "tags", "piece", geo.line("line").alias("geometry")), ["osm_id", "piece"], o), m, "line")
+    lined = resolved.where(F.size("tags") > 0).select("osm_id", "tags", "line")
 
-    relations = e.relations.where(F.size("tags") > 0)
-    whole = e.ways.where(~F.col("partial")) if "partial" in e.ways.columns else e.ways
-    built = multipolygon.assembled(relations, whole, e.coords, o.relation_builder, o.partial_relations, o.max_rings).where(F.col("geometry").isNotNull())
-    areas = _shaped(built.select("osm_id", "tags", "ways", "geometry", "area", "mid_lat"), ["osm_id"], o)
+    pieces = lined.where(O.valid_line(F.col("line")) & (F.size(routes(F.col("tags"), m.rules("line"))) > 0))
+    pieces = pieces.select("osm_id", "tags", F.posexplode(O.split_line(F.col("line"), o.max_length) if o.max_length else F.array("line")).alias("piece", "line"))
+    lines = _shaped(pieces.select("osm_id", "tags", "piece", geo.line("line").alias("geometry")), ["osm_id", "piece"], o)
+    lines = keep("routed-lines", O.routed(lines, m, "line"), "table")
+
+    built = keep("relations", multipolygon.assembled_from(relations, resolved.where(~F.col("partial")), o.relation_builder, o.partial_relations, o.max_rings), None)
+    if keep is not _lazy:
+        _report(built, tagged, lined, o, keep)
+    areas = _shaped(built.where(F.col("geometry").isNotNull()).select("osm_id", "tags", "ways", "geometry", "area", "mid_lat"), ["osm_id"], o)
     rings = lined.where(O.closed(F.col("line"))).where(F.size(routes(F.col("tags"), m.rules("polygon"))) > 0)
     rings = rings.select("osm_id", "tags", geo.ring("line").alias("geometry"), O.ring_area(F.col("line")).alias("area"), O.mid_latitude(F.col("line")).alias("mid_lat"))
     rings = _shaped(rings, ["osm_id"], o)
     if o.limit:
         # The area is that of what the limit left.
         areas, rings = (df.withColumn("area", geo.st_area("geometry")) for df in (areas, rings))
+        areas = keep("areas", areas, None)
 
-    made = O.routed(areas, m, "polygon")
+    made = keep("routed-relations", O.routed(areas.drop("ways"), m, "polygon"), "table")
     rows = {t.name: O.features(made, t, m.default_name, F.col("area"), F.col("mid_lat"), keep=("osm_id", "geometry")) for t in m.of("polygon")}
     skipping = [t.name for t in m.of("polygon") if t.skip_inserted]
     found = areas.withColumn("routes", routes(F.col("tags"), m.rules("polygon"))).select("osm_id", "ways", "routes")
@@ -139,7 +197,7 @@ def base_tables(e: Elements, m: MappingSet, o: Options = Options()) -> dict[str,
         found = found.join(entered, "osm_id", "left_semi")
     member = F.transform("ways", lambda w: F.struct(w.alias("ref"), F.lit("way").alias("type"), F.lit("").alias("role")))
     gone = O.inserted_ways(found.select("osm_id", member.alias("members"), "routes"), tagged.withColumn("routes", routes(F.col("tags"), m.rules("polygon"))))
-    alone = O.routed(O.not_inserted(rings, gone), m, "polygon")
+    alone = keep("routed-rings", O.routed(O.not_inserted(rings, gone), m, "polygon"), "table")
 
     out: dict[str, DataFrame] = {}
     for t in m.tables:
@@ -153,6 +211,35 @@ def base_tables(e: Elements, m: MappingSet, o: Options = Options()) -> dict[str,
     return out
 
 
+def _report(built: DataFrame, tagged: DataFrame, lined: DataFrame, o: Options, keep: Keep) -> None:
+    """Keep what could not be made, and why, and the relations that took long."""
+    failed = built.where(F.col("geometry").isNull()).select(F.lit("relation").alias("kind"), "osm_id", "reason")
+    lost = tagged.join(lined.select("osm_id"), "osm_id", "left_anti").select(F.lit("way").alias("kind"), "osm_id", F.lit("missing vertex").alias("reason"))
+    flat = lined.where(~O.valid_line(F.col("line"))).select(F.lit("way").alias("kind"), "osm_id", F.lit("no line").alias("reason"))
+    keep("rejects", failed.unionByName(lost).unionByName(flat), None)
+    keep("slow", built.where(F.col("seconds") >= o.slow).select("osm_id", "seconds"), None)
+
+
+def documents(tables: dict[str, DataFrame], m: MappingSet) -> DataFrame:
+    """(osm_id, geom_type, tables, fields): an object per element and type of geometry, with the columns of all tables that it is in."""
+    parts = []
+    for name, df in tables.items():
+        kind = F.upper(geo.st_kind("geometry"))
+        columns = [c for c in df.columns if c not in ("osm_id", "geometry")]
+        entries = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("value")) for c in columns])
+        parts.append(df.select("osm_id", kind.alias("geom_type"), F.lit(name).alias("table"), F.map_from_entries(F.filter(entries, lambda x: x["value"].isNotNull())).alias("fields")))
+    return O.documents(reduce(DataFrame.unionByName, parts))
+
+
+def write_documents(staging: Staging, m: MappingSet, path: str, o: Options = Options()) -> None:
+    """Write the import as JSON objects instead of tables."""
+    keep, done = staging.keeper()
+    try:
+        documents(base_tables(staging.load(), m, o, keep), m).write.mode("error").json(path)
+    finally:
+        done()
+
+
 def _mended(df: DataFrame, name: str, m: MappingSet) -> DataFrame:
     """df, repaired if a Repair names it."""
     return derived.repaired(df) if any(r.origin == name for r in m.repairs) else df
@@ -172,18 +259,39 @@ def union_views(tables: dict[str, DataFrame], m: MappingSet) -> dict[str, DataFr
 
 
 def write(spark: SparkSession, staging: Staging, m: MappingSet, o: Options = Options(), p: Prefixes = Prefixes(), dry: bool = False) -> list[str]:
-    """Write all tables under the import prefix, derived ones from the written ones; then the views."""
-    tables = base_tables(staging.load(), m, o)
+    """Write all tables under the import prefix, derived ones from the written ones; then the views.
+
+    What could not be made is in staging.rejects() afterwards, slow relations in staging.slow_relations().
+    """
     if dry:
-        for df in derived_tables(tables, m).values():
+        for df in derived_tables(base_tables(staging.load(), m, o), m).values():
             df.write.format("noop").mode("overwrite").save()
         return []
-    done = {}
-    for name, df in tables.items():
-        create(spark, p.new + name, clustered(_mended(df, name, m)))
-        done[name] = spark.table(p.new + name).select(*df.columns)
-    for g in derived.in_order(m.generalized, done):
-        df = _mended(derived.generalized(done[g.origin], g.tolerance, g.where), g.name, m)
-        create(spark, p.new + g.name, clustered(df))
-        done[g.name] = spark.table(p.new + g.name).select(*df.columns)
+    keep, clean = staging.keeper()
+
+    def keep_all(name: str, df: DataFrame, by: str | None = None) -> DataFrame:
+        if name not in ("rejects", "slow"):
+            return keep(name, df, by)
+        df.write.mode("overwrite").parquet(staging.path(name))
+        return df
+
+    try:
+        done = {}
+        for name, df in base_tables(staging.load(), m, o, keep_all).items():
+            create(spark, p.new + name, clustered(_mended(df, name, m)), _indexed(m, name))
+            done[name] = spark.table(p.new + name).select(*df.columns)
+        for g in derived.in_order(m.generalized, done):
+            df = _mended(derived.generalized(done[g.origin], g.tolerance, g.where), g.name, m)
+            create(spark, p.new + g.name, clustered(df), _indexed(m, g.name))
+            done[g.name] = spark.table(p.new + g.name).select(*df.columns)
+    finally:
+        clean()
     return [p.new + n for n in done] + create_views(spark, m, p.new)
+
+
+def _indexed(m: MappingSet, name: str) -> tuple[str, ...]:
+    """The columns that a table, or the one it is generalized from, declares as indexed."""
+    origins = {g.name: g.origin for g in m.generalized}
+    while name in origins:
+        name = origins[name]
+    return tuple(f.name for f in m.table(name).columns(m.default_name) if f.indexed)

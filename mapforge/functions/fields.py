@@ -45,6 +45,7 @@ class Row:
 class Field:
     name: str
     sql_type: str = field(default="string", kw_only=True)
+    indexed: bool = field(default=False, kw_only=True)  # noted in the table's properties; rows are not sorted by it
 
     @property
     def keys(self) -> list[str]:
@@ -59,6 +60,17 @@ class Field:
     def drops(self, row: Row) -> Column | None:
         return None
 
+    @staticmethod
+    def from_function(name: str, function: Callable[[str | None], object], sql_type: str, **options) -> Field:
+        """A field that a Python function makes of the tag of its name (None without it), in Arrow batches. Built-in columns are faster: see Custom."""
+        import pandas as pd
+
+        @F.pandas_udf(sql_type)
+        def made(values: pd.Series) -> pd.Series:
+            return pd.Series([function(v) for v in values], dtype=object)
+
+        return Custom(name, lambda row: made(F.try_element_at(row.tags, F.lit(name))), (name,), sql_type=sql_type, **options)
+
 
 @dataclass(frozen=True)
 class String(Field):

@@ -96,12 +96,6 @@ def inserted_ways(relations: DataFrame, ways: DataFrame) -> DataFrame:
     return members.join(ways.select("osm_id", "routes"), "osm_id").where(F.arrays_overlap("of", "routes")).select("osm_id").distinct()
 
 
-def fallback_tags(relation: Column, largest: Column) -> Column:
-    """A relation's tags without type; if but a name is left, those of its largest ring, name and all."""
-    own = F.map_filter(relation, lambda k, v: ~k.isin("type", "name"))
-    return F.when(F.size(own) == 0, largest).otherwise(F.map_filter(relation, lambda k, v: k != "type"))
-
-
 def merge_tags(copies: DataFrame, order: str) -> DataFrame:
     """(osm_id, tags) of copies from several extracts: the later one's value of a key counts."""
     flat = copies.select("osm_id", order, F.explode("tags").alias("k", "v"))
@@ -111,8 +105,35 @@ def merge_tags(copies: DataFrame, order: str) -> DataFrame:
 
 def merge_members(members: Column) -> Column:
     """Members of several copies one after another: the first of each ref, whatever its type and role."""
-    none = F.array().cast("array<struct<ref:bigint,type:string,role:string>>")
-    return F.aggregate(members, none, lambda t, m: F.when(F.exists(t, lambda x: x["ref"] == m["ref"]), t).otherwise(F.concat(t, F.array(m))))
+    placed = F.array_sort(F.transform(members, lambda m, i: F.struct(m["ref"].alias("ref"), i.alias("at"), m.alias("m"))))
+    # In order of refs, the first of a ref is the one whose ref differs from that before it.
+    first = F.transform(F.array(placed), lambda s: F.filter(s, lambda x, i: (i == 0) | ~F.get(s, i - 1)["ref"].eqNullSafe(x["ref"])))[0]
+    return F.transform(F.array_sort(F.transform(first, lambda x: F.struct(x["at"].alias("at"), x["m"].alias("m")))), lambda x: x["m"])
+
+
+def union_rows(routed_elements: DataFrame, specs: list[TableSpec], fields: dict[str, object], default_name: Field) -> DataFrame:
+    """The rows of union_view over the tables of specs, from routed elements in one pass: a column is what the row's table says."""
+    row = Row(F.col("tags"), F.col("key"), F.col("value"))
+    wanted = {"name": "", **fields, **({"type": None} if "type" not in fields else {})}
+    columns = {s.name: {f.name: f for f in s.columns(default_name)} for s in specs}
+    rows = routed_elements.where(F.col("table").isin([s.name for s in specs]))
+    for s in specs:
+        for f in s.field_filter:
+            rows = rows.where((F.col("table") != s.name) | (f.expr(row) == 0))
+        for f in columns[s.name].values():
+            if (gone := f.drops(row)) is not None:
+                rows = rows.where((F.col("table") != s.name) | ~gone)
+
+    def value(c: str, default: object) -> Column:
+        kind = next((columns[s.name][c].sql_type for s in specs if c in columns[s.name]), "string")
+        out = F.lit(default).cast(kind)
+        for s in specs:
+            if c in columns[s.name]:
+                out = F.when(F.col("table") == s.name, columns[s.name][c].expr(row).cast(kind)).otherwise(out)
+        return out.alias(c)
+
+    label = F.create_map(*[F.lit(x) for s in specs for x in (s.name, s.classname or s.name)])[F.col("table")]
+    return rows.select("osm_id", *[value(c, d) for c, d in wanted.items()], label.alias("class"))
 
 
 def union_view(tables: dict[str, DataFrame], fields: dict[str, object], with_type: bool = True, classes: dict[str, str] | None = None) -> DataFrame:
