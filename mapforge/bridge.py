@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from .defaults import MAPPING
 from .functions import fields as E
+from .functions import geo
+from .geometry import planar
 from .mapping import node_tags, relation_tags, routes, way_tags
+from .operators import clip, derived, multipolygon
 from .operators import elements as O
 
 NODES = """SELECT c_custkey AS osm_id,
@@ -207,16 +210,25 @@ def merge_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def relation_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relations whose member ways are all there with all their vertices: members and vertices."""
-    lines = _lines(spark, sf_dir).select(F.col("osm_id").alias("ref"), F.size("line").alias("n"))
-    member = _view(spark, sf_dir, "SELECT o_orderkey AS ref, o_orderkey % 5000 AS osm_id FROM orders")
-    got = member.join(lines, "ref", "left").groupBy("osm_id").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("vertices"), F.bool_and(F.col("n").isNotNull()).alias("whole"))
-    return got.where("whole").select("osm_id", "members", "vertices")
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    lines = _lines(spark, sf_dir).withColumn("tags", none)
+    member = F.struct(F.col("ref"), F.lit("way").alias("type"), F.lit("").alias("role"))
+    rels = _view(spark, sf_dir, "SELECT o_orderkey AS ref, o_orderkey % 5000 AS osm_id FROM orders").groupBy("osm_id").agg(F.collect_list(member).alias("members"))
+    got = multipolygon.members_with_lines(rels.withColumn("tags", none), lines).where(F.forall("members", lambda m: m["refs"].isNotNull()))
+    vertices = F.aggregate("members", F.lit(0).cast("long"), lambda t, m: t + F.size(m["lon"]))
+    return got.select("osm_id", F.size("members").cast("long").alias("members"), vertices.alias("vertices"))
 
 
 def relation_tags_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rels = _raw_relations(spark, sf_dir)
+    """Every relation with one ring, whose tags count where it has but a name of its own."""
+    n = F.col("osm_id") * 4
+    base = _raw_relations(spark, sf_dir)
     ring = F.map_from_arrays(F.array(F.lit("natural"), F.lit("name")), F.array(F.lit("water"), F.lit("ring")))
-    return _flat(rels.select("osm_id", O.fallback_tags(F.col("tags"), ring).alias("tags")), "name", "natural", "landuse", "boundary")
+    corners = F.array(*[F.struct((n + i).alias("osm_id"), F.lit(float(x)).alias("lon"), F.lit(float(y)).alias("lat")) for i, (x, y) in enumerate([(0, 0), (1, 0), (1, 1), (0, 1)])])
+    ways = base.select("osm_id", ring.alias("tags"), F.array(n, n + 1, n + 2, n + 3, n).alias("refs"))
+    member = F.array(F.struct(F.col("osm_id").alias("ref"), F.lit("way").alias("type"), F.lit("").alias("role")))
+    built = multipolygon.assembled(base.withColumn("members", member), ways, base.select(F.inline(corners)))
+    return _flat(built.select("osm_id", "tags"), "name", "natural", "landuse", "boundary")
 
 
 def routes_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,10 +238,10 @@ def routes_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ways are read, filtered and routed once; a row's columns are those of its own table."""
     view = next(u for u in MAPPING.unions if u.name == "roads")
-    # The filtered ways are read once: every table is a branch of one routed DataFrame.
-    parts = {t: _table(spark, sf_dir, t) for t in view.tables}
-    return O.union_view(parts, dict(view.fields)).withColumnRenamed("class", "cls")
+    specs = [MAPPING.table(t) for t in view.tables]
+    return O.union_rows(O.routed(_ways(spark, sf_dir), MAPPING, "line"), specs, dict(view.fields), MAPPING.default_name).withColumnRenamed("class", "cls")
 
 
 def dict_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,11 +252,15 @@ def dict_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clip_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, NODES).where("lon >= -10 AND lon <= 30.5 AND lat >= 0 AND lat <= 60").select("osm_id", F.round("lon", 4).alias("lon"), F.round("lat", 4).alias("lat"))
+    points = _view(spark, sf_dir, NODES).select("osm_id", geo.point("lon", "lat").alias("geometry"))
+    inside = clip.limited(points, clip.limit_parts(spark, ("Polygon", planar.box(-10, 0, 30.5, 60))), ["osm_id"]).withColumn("b", geo.st_bounds("geometry"))
+    return inside.select("osm_id", F.round("b.minx", 4).alias("lon"), F.round("b.miny", 4).alias("lat"))
 
 
 def generalized_where(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return way_closed_polygons(spark, sf_dir).where("area > 5000").select("osm_id", "area")
+    line = F.col("line")
+    rings = _lines(spark, sf_dir).where(O.closed(line)).select("osm_id", F.round(O.ring_area(line), 3).alias("area"), geo.ring("line").alias("geometry"))
+    return derived.generalized(rings, 0.0, "area > 5000").select("osm_id", "area")
 
 
 def tile_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +268,16 @@ def tile_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def estimate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = O.estimate_records({"a.osm.bz2": 2_000_000, "b.pbf": 1_000_000, "c.osm": 5_000})
+    """The sizes of three files made here, of so many lines as there are orders, customers and parts."""
+    from .imports import scratch
+
+    sizes = {}
+    for table, ending in (("orders", ".osm.bz2"), ("customer", ".pbf"), ("part", ".osm")):
+        path = scratch(spark, table)
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").select(F.lit("x" * 399).alias("value")).write.text(path)
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        sizes[path + ending] = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    got = O.estimate_records(sizes)
     return spark.createDataFrame([tuple(got.values())], "coords long, nodes long, ways long, relations long")
 
 
@@ -364,5 +389,5 @@ ORACLES: dict[str, str] = {
     "union_roads": f"WITH {F_WAYS}, {LINES} {_UNION}",
     "generalized_where": f"WITH {S_LINES}, {_RINGS} SELECT osm_id, round(area, 3) AS area FROM rings WHERE area > 5000",
     "dict_documents": f"WITH {F_WAYS}, {LINES} SELECT osm_id, 'LINESTRING' AS geom_type, string_agg(tbl, ',' ORDER BY tbl) AS tables, max(CASE WHEN k = 'highway' THEN v END) AS highway, max(CASE WHEN k = 'railway' THEN v END) AS railway FROM lines GROUP BY osm_id",
-    "estimate_records": "SELECT CAST(185025 AS BIGINT) AS coords, CAST(3700 AS BIGINT) AS nodes, CAST(26432 AS BIGINT) AS ways, CAST(185 AS BIGINT) AS relations",
+    "estimate_records": "SELECT c AS coords, c // 50 AS nodes, c // 7 AS ways, c // 1000 AS relations FROM (SELECT CAST(2 * (11 * (SELECT count(*) FROM orders) + 15 * (SELECT count(*) FROM customer) + (SELECT count(*) FROM part)) AS BIGINT) AS c) q",
 }

@@ -6,9 +6,9 @@ import os
 import duckdb
 import pytest
 
-from mapforge import bridge, shapes
+from mapforge import bridge, imports, shapes
 
-QUERIES, ORACLES = bridge.QUERIES | shapes.QUERIES, bridge.ORACLES | shapes.ORACLES
+QUERIES, ORACLES = bridge.QUERIES | shapes.QUERIES | imports.QUERIES, bridge.ORACLES | shapes.ORACLES | imports.ORACLES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
