@@ -10,6 +10,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,7 +64,6 @@ class Field:
     @staticmethod
     def from_function(name: str, function: Callable[[str | None], object], sql_type: str, **options) -> Field:
         """A field that a Python function makes of the tag of its name (None without it), in Arrow batches. Built-in columns are faster: see Custom."""
-        import pandas as pd
 
         @F.pandas_udf(sql_type)
         def made(values: pd.Series) -> pd.Series:

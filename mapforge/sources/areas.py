@@ -47,15 +47,16 @@ def polygons_of_geojson(text: str, where=None) -> list[planar.Polygon]:
     return found
 
 
-def polygons_of_shapefile(data: bytes) -> list[planar.Polygon]:
-    """The polygons of a .shp file: its rings are filled by their winding, so holes need no pairing."""
+def polygons_of_shapefile(data: bytes, keep: set[int] | None = None) -> list[planar.Polygon]:
+    """The polygons of a .shp file (of the records numbered in keep): its rings are filled by their winding, so holes need no pairing."""
     if len(data) < 100 or struct.unpack(">i", data[:4])[0] != 9994:
         raise ValueError("not a shapefile")
-    at, found = 100, []
+    at, found, number = 100, [], -1
     while at + 8 <= len(data):
         (words,) = struct.unpack_from(">i", data, at + 4)
         at += 8
-        if struct.unpack_from("<i", data, at)[0] in (5, 15, 25):
+        number += 1
+        if struct.unpack_from("<i", data, at)[0] in (5, 15, 25) and (keep is None or number in keep):
             n_parts, n_points = struct.unpack_from("<2i", data, at + 36)
             starts = [*struct.unpack_from(f"<{n_parts}i", data, at + 44), n_points]
             flat = struct.unpack_from(f"<{2 * n_points}d", data, at + 44 + 4 * n_parts)
@@ -67,21 +68,74 @@ def polygons_of_shapefile(data: bytes) -> list[planar.Polygon]:
     return found
 
 
+def attributes_of_dbf(data: bytes) -> tuple[list[tuple[str, str]], list[tuple]]:
+    """((name, SQL type) of the columns, rows) of the dBase table beside a shapefile; blank numbers and truth values are null."""
+    n, head, size = struct.unpack_from("<IHH", data, 4)
+    columns, at = [], 32
+    while data[at] != 0x0D:
+        name = data[at : at + 11].split(b"\0")[0].decode("latin-1")
+        kind, length, decimals = chr(data[at + 11]), data[at + 16], data[at + 17]
+        columns.append((name, "boolean" if kind == "L" else "string" if kind not in "NF" else "double" if decimals or kind == "F" else "bigint", length))
+        at += 32
+
+    def value(raw: bytes, kind: str) -> object:
+        text = raw.decode("utf-8", "replace").strip("\0 ")
+        if kind == "string":
+            return text
+        if kind == "boolean":
+            return {"T": True, "Y": True, "F": False, "N": False}.get(text.upper())
+        return (float(text) if kind == "double" else int(float(text))) if text.strip("*") else None
+
+    rows = []
+    for i in range(n):
+        begin, row = head + i * size + 1, []
+        for _, kind, length in columns:
+            row.append(value(data[begin : begin + length], kind))
+            begin += length
+        rows.append(tuple(row))
+    return [(name, kind) for name, kind, _ in columns], rows
+
+
+def _chosen(spark: SparkSession, rows: list[tuple], schema: str, where: str, name: str) -> set[int]:
+    """The fid of the features that a predicate holds for, or that a whole SELECT over the table ``name`` returns (with its fid)."""
+    table = spark.createDataFrame(rows, schema)
+    if not where.lstrip().lower().startswith("select"):
+        return {r["fid"] for r in table.where(where).select("fid").collect()}
+    table.createOrReplaceTempView(name)
+    try:
+        return {r["fid"] for r in spark.sql(where).select("fid").collect()}
+    finally:
+        spark.catalog.dropTempView(name)
+
+
 def load_area(spark: SparkSession, path: str, where: str | None = None) -> codec.Geometry:
-    """All polygons of a file as one geometry. ``where`` is a SQL predicate on the properties of GeoJSON features."""
-    data = bytes(spark.read.format("binaryFile").load(path).select("content").first()["content"])
+    """All polygons of a file as one geometry.
+
+    ``where`` is a SQL predicate on the properties of GeoJSON features or the columns of a shapefile's .dbf, or a whole
+    SELECT from a table of the file's name that returns the column fid (as SELECT * does).
+    """
+
+    def content(path: str) -> bytes:
+        return bytes(spark.read.format("binaryFile").load(path).select("content").first()["content"])
+
+    data, name = content(path), path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
     if path.lower().endswith(".shp"):
-        found = polygons_of_shapefile(data)
+        keep = None
+        if where:
+            columns, rows = attributes_of_dbf(content(path[:-3] + ("DBF" if path.endswith("SHP") else "dbf")))
+            schema = ", ".join(["fid int", *(f"`{n}` {kind}" for n, kind in columns)])
+            keep = _chosen(spark, [(i, *r) for i, r in enumerate(rows)], schema, where, name)
+        found = polygons_of_shapefile(data, keep)
     else:
         text = data.decode("utf-8-sig")
         if is_wkt(text[:50]):
             found = polygons_of_text(text)
         elif where:
             features = json.loads(text)["features"]
-            rows = spark.createDataFrame([(i, json.dumps(f.get("properties") or {})) for i, f in enumerate(features)], "i int, p string")
             names = sorted({k for f in features for k in (f.get("properties") or {})})
-            rows = rows.select("i", *[F.get_json_object("p", f"$['{n}']").alias(n) for n in names]).where(where)
-            keep = {r["i"] for r in rows.select("i").collect()}
+            shown = lambda v: v if v is None or isinstance(v, str) else json.dumps(v)
+            rows = [(i, *(shown((f.get("properties") or {}).get(n)) for n in names)) for i, f in enumerate(features)]
+            keep = _chosen(spark, rows, ", ".join(["fid int", *(f"`{n}` string" for n in names)]), where, name)
             found = polygons_of_geojson(json.dumps({"type": "FeatureCollection", "features": [f for i, f in enumerate(features) if i in keep]}))
         else:
             found = polygons_of_geojson(text)

@@ -114,6 +114,52 @@ def test_commands(spark, tmp_path, osm, database):
     assert names() == {"osm_" + n for n in base}
 
 
+def test_import_computes_once(spark, tmp_path, osm):
+    """With steps kept, the tables' plans build no relation and join no vertices again; without, each polygon table would."""
+    s = staged(spark, tmp_path, osm)
+    keep, done = s.keeper()
+    steps = []
+
+    def counted(name, df, by=None):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        steps.append((name, plan.count("MapInPandas"), plan.count("lon#") and "posexplode(refs" in plan))
+        return keep(name, df, by)
+
+    tables = engine.base_tables(s.load(), MAPPING, keep=counted)
+    assert sum(n for _, n, _ in steps) == 1 and [name for name, _, joins in steps if joins] == ["lines"]
+    for df in tables.values():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInPandas" not in plan and "posexplode" not in plan
+    assert tables["landusages"].count() == 2
+    done()
+
+
+def test_rejects_documents_and_indexes(spark, tmp_path, osm, database):
+    from mapforge.functions.fields import Field, String
+
+    spark.catalog.setCurrentDatabase(database)
+    twice = Field.from_function("lanes", lambda v: None if v is None else 2 * int(v), "int")
+    m = MappingSet((TableSpec("roads", "line", {"highway": (ANY,)}, (String("ref", indexed=True), twice)), SMALL.table("landusages")), (Generalized("roads_gen", "roads", 0.1),))
+    (tmp_path / "more.osm").write_text(f'<osm>{way(50, 2, 3, highway="x", lanes="3")}<relation id="8"><member type="way" ref="77" role=""/>{tags(type="multipolygon", landuse="park")}</relation></osm>')
+    s = engine.Staging(spark, str(tmp_path / "s"))
+    s.save(engine.merged(engine.read(spark, [osm, str(tmp_path / "more.osm")])), m)
+    engine.write(spark, s, m, engine.Options(slow=0.0))
+    assert {tuple(r) for r in s.rejects().collect()} == {("relation", 8, "missing way or vertex"), ("way", 5, "missing vertex")}
+    assert {r["osm_id"] for r in s.slow_relations().collect()} == {7, 8}
+    for t in ("osm_new_roads", "osm_new_roads_gen"):
+        assert {r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {t}").collect() if r["key"] == "indexed"} == {'["ref"]'}
+    assert {(r["osm_id"], r["lanes"]) for r in spark.table("osm_new_roads").collect()} == {(3, None), (50, 6)}
+    engine.write_documents(s, m, str(tmp_path / "json"))
+    got = {r["osm_id"]: r for r in spark.read.json(str(tmp_path / "json")).collect()}
+    assert got[50]["geom_type"] == "LINESTRING" and got[50]["fields"]["lanes"] == "6" and got[7]["tables"] == ["landusages"]
+
+
+def test_a_merge_that_broke_off_is_put_back(spark, tmp_path, osm):
+    s = staged(spark, tmp_path, osm)
+    (tmp_path / "staging").rename(tmp_path / "staging__previous")
+    assert s.exists() and s.load().coords.count() == 12
+
+
 def test_sinks_and_prefixes(spark):
     s = catalog.parse_sink("catalog://me:a%2Bb+c@host:5432/db?x=1")
     assert (s.host, s.port, s.database, s.user, s.password, s.options) == ("host", 5432, "db", "me", "a+b c", (("x", "1"),))

@@ -95,3 +95,25 @@ def test_areas(spark, tmp_path):
     with pytest.raises(ValueError):
         areas.load_area(spark, str(tmp_path / "none.geojson"))
     assert C.to_wkt(areas.load_area(spark, str(wkt))).startswith("MULTIPOLYGON(((")
+
+
+def test_shapefile_where(spark, tmp_path):
+    """Records chosen by the columns of the .dbf, by a predicate and by a whole SELECT."""
+    import struct
+
+    from mapforge.geometry import planar
+    from mapforge.sources.areas import load_area
+
+    shapes = b""
+    for i, x in enumerate((0.0, 10.0, 20.0)):
+        points = [(x, 0.0), (x, 1.0 + i), (x + 1.0, 1.0 + i), (x + 1.0, 0.0), (x, 0.0)]
+        body = struct.pack("<i4d2ii", 5, x, 0.0, x + 1, 1.0 + i, 1, 5, 0) + b"".join(struct.pack("<2d", *p) for p in points)
+        shapes += struct.pack(">2i", i + 1, len(body) // 2) + body
+    (tmp_path / "land.shp").write_bytes(struct.pack(">i", 9994) + bytes(96) + shapes)
+    field = lambda name, kind, size, decimals: name.encode().ljust(11, b"\0") + kind + bytes(4) + bytes([size, decimals]) + bytes(14)
+    fields = field("NAME", b"C", 6, 0) + field("POP", b"N", 5, 0) + field("OK", b"L", 1, 0) + b"\r"
+    rows = b" one      10T two        F three    30T"
+    (tmp_path / "land.dbf").write_bytes(struct.pack("<4BIHH", 3, 26, 1, 1, 3, 32 + len(fields), 13) + bytes(20) + fields + rows)
+    at = str(tmp_path / "land.shp")
+    area = lambda where: round(planar.area(load_area(spark, at, where)), 9)
+    assert (area(None), area("POP > 5"), area("NAME = 'two'"), area("POP IS NULL OR OK AND POP < 20"), area("SELECT * FROM land WHERE OK")) == (6.0, 4.0, 2.0, 3.0, 4.0)
