@@ -75,7 +75,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixture", mixture),
     ("packing", packed),
 ]
-#: Training profiles, near copies and tokens are beyond SQL; tests hold run() against brute force.
+#: Training profiles, near copies and tokens are beyond SQL; tests/llm/test_pipeline.py holds each stage against brute force, and run() against its stages.
 ORACLE_SQL: str | None = None
 
 
