@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import connected_components, dropped, lookup, maybe_among, measured, temporary, whole_texts, written
+from .runtime import connected_components, dropped, free_shuffles, lookup, maybe_among, measured, temporary, whole_texts, written
 from .textkit import BITS, Words, bitmap, is_set, mix, runs, slices
 
 if TYPE_CHECKING:
@@ -226,6 +226,7 @@ def components(documents: DataFrame, *, k: int = 3, percent: int = 90) -> DataFr
         nodes, seen = measured(nodes.select("node", "one.*", "first", "count"), "jaccard-nodes")
         placed = written(head.select("doc_id", "text_hash", "n", "node"), "jaccard-placed", keep=True)
         dropped(head)
+        free_shuffles(documents.sparkSession)
         named = _linked(docs, nodes, seen["n"], k, percent)
     out = lookup(placed, named, "node", "count", total)
     return out.select("doc_id", "text_hash", "n", "node", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "part")
@@ -236,9 +237,11 @@ def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: in
     entries = nodes.select("node", "n", F.explode("prefix").alias("shingle"))
     lists = entries.groupBy("shingle").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
     lists, seen = measured(lists, "jaccard-shingles", F.sum("m").alias("entries"))
+    free_shuffles(docs.sparkSession)
     entries = lookup(entries, lists.withColumn("rows", F.col("m")), "shingle", "rows", seen["entries"] or 0).where("rep IS NOT NULL")
     entries = written(entries, "jaccard-lists")
     dropped(lists)
+    free_shuffles(docs.sparkSession)
 
     def alike(a: Column, b: Column) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * percent  # no pair of other sizes can be alike enough
@@ -277,8 +280,11 @@ def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: in
     # 1. In each list its least node against all others.
     others = entries.where("node != rep")
     met = candidates(others.select(F.col("rep").alias("a"), F.col("node").alias("b")))
+    free_shuffles(docs.sparkSession)
     sets = _sets(docs, ends(met), k)
+    free_shuffles(docs.sparkSession)
     parts = connected_components(links(met, sets), "a", "b")
+    free_shuffles(docs.sparkSession)
     # 2. Lists whose other members still are in several components.
     others = with_part(others.where("m > 2").select("shingle", "node", "n", "m"), parts, "node", "part")
     others, seen = measured(others, "jaccard-others")
@@ -302,6 +308,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: in
             members = written(long.join(chosen, "shingle").join(nodes.select("node", "text_hash"), "node").select("shingle", "m", "node", "text_hash"), "jaccard-members")
             wanted = wanted.unionByName(members.select("node", "text_hash"))
         sets = sets.unionByName(_sets(docs, wanted.distinct().join(sets.select("node"), "node", "left_anti"), k))
+        free_shuffles(docs.sparkSession)
         found = links(again, sets)
         if members is not None:
             found = found.unionByName(in_blocks(members.drop("text_hash"), sets))

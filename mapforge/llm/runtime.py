@@ -115,6 +115,15 @@ def dropped(table: DataFrame) -> None:
         drop_path(table.sparkSession, path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    It does so when the driver's garbage collection finds their plans gone, which may be long after the step; the files
+    of a whole operator would lie on the executors' disks together.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
