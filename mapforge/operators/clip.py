@@ -1,7 +1,9 @@
 """Clipping features to a limit area: grid cells pair features with parts of the area, then parts cut them.
 
 The area is cut along a grid once, so a feature meets only the parts near it, however large the area
-is; the join on cells is an equi-join, and Catalyst broadcasts the parts where their size allows.
+is. Features and parts have cells of their own size: a small part gathers only what is near it, and a large
+feature has a few large cells. The joins on cells are equi-joins, and Catalyst broadcasts the parts where
+their size allows.
 """
 
 from __future__ import annotations
@@ -15,8 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..geometry import codec, planar
 
-#: Degrees of the join's cells.
-CELL = 1.0
+#: Degrees of the join's cells, by level.
+CELLS = (0.1, 1.0, 10.0, 100.0, 1000.0)
 
 
 def checked_wgs84(area: codec.Geometry) -> codec.Geometry:
@@ -40,9 +42,36 @@ def limit_parts(spark: SparkSession, area: codec.Geometry) -> DataFrame:
     return spark.createDataFrame(rows, "part int, geometry binary, minx double, miny double, maxx double, maxy double")
 
 
-def _with_cells(df: DataFrame, b: str) -> DataFrame:
-    span = lambda low, high: F.sequence(F.floor(F.col(f"{b}{low}") / CELL), F.floor(F.col(f"{b}{high}") / CELL))
-    return df.withColumn("_cx", F.explode(span("minx", "maxx"))).withColumn("_cy", F.explode(span("miny", "maxy")))
+def _with_cells(df: DataFrame, b: str, own: bool | None = None) -> DataFrame:
+    """df with a row for each cell (_level, _cx, _cy) that its bounds meet, a few a level.
+
+    Own cells are those of the first level whose cells are as large as the bounds; the others are all larger ones.
+    With own None it is both.
+    """
+    x0, x1, y0, y1 = (F.col(f"{b}{c}") for c in ("minx", "maxx", "miny", "maxy"))
+    extent = F.greatest(x1 - x0, y1 - y0)
+    first = F.lit(len(CELLS) - 1)
+    for k in reversed(range(len(CELLS) - 1)):
+        first = F.when(extent <= CELLS[k], k).otherwise(first)
+    levels = F.sequence(F.lit(0), F.lit(len(CELLS) - 1))
+    wanted = {None: lambda k: k >= first, True: lambda k: k == first, False: lambda k: k > first}[own]
+    width = F.element_at(F.array(*map(F.lit, CELLS)), F.col("_level") + 1)
+    span = lambda low, high: F.sequence(F.floor(low / width), F.floor(high / width))
+    return df.withColumn("_level", F.explode(F.filter(levels, wanted))).withColumn("_cx", F.explode(span(x0, x1))).withColumn("_cy", F.explode(span(y0, y1)))
+
+
+def near_parts(bounds: DataFrame, parts: DataFrame, key: list[str]) -> DataFrame:
+    """(key, part) of the features (key, _b) and parts whose bounds meet.
+
+    The two share a cell at the level of the larger one, so that is where they are joined: once for parts no smaller
+    than the feature, once for smaller ones.
+    """
+    places = parts.select("part", "minx", "miny", "maxx", "maxy")
+    on = ["_level", "_cx", "_cy"]
+    pairs = _with_cells(bounds, "_b.").join(_with_cells(places, "", own=True), on)
+    pairs = pairs.unionByName(_with_cells(bounds, "_b.", own=True).join(_with_cells(places, "", own=False), on))
+    meets = (F.col("_b.minx") <= F.col("maxx")) & (F.col("_b.maxx") >= F.col("minx")) & (F.col("_b.miny") <= F.col("maxy")) & (F.col("_b.maxy") >= F.col("miny"))
+    return pairs.where(meets).select(*key, "part").distinct()
 
 
 def _cut(data: bytes, near: list[bytes], kind: str) -> list[bytes]:
@@ -76,10 +105,7 @@ def limited(features: DataFrame, parts: DataFrame, key: list[str], geometry: str
     """
     narrow = features.select(*key, geometry).where(F.col(geometry).isNotNull()).withColumn("_b", geo.st_bounds(geometry))
     narrow = narrow.where("_b.minx is not null")
-    cells = _with_cells(narrow.select(*key, "_b"), "_b.")
-    places = _with_cells(parts.select("part", "minx", "miny", "maxx", "maxy"), "")
-    meets = (F.col("_b.minx") <= F.col("maxx")) & (F.col("_b.maxx") >= F.col("minx")) & (F.col("_b.miny") <= F.col("maxy")) & (F.col("_b.maxy") >= F.col("miny"))
-    near = cells.join(places, ["_cx", "_cy"]).where(meets).select(*key, "part").distinct()
+    near = near_parts(narrow.select(*key, "_b"), parts, key)
     shapes = near.join(parts.select("part", F.col("geometry").alias("_limit")), "part").groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("part", "_limit"))).alias("_limits"))
     whole = narrow.select(*key, F.col(geometry).alias("_whole")).join(shapes, key)
     names = [f.name for f in whole.schema if f.name in key]

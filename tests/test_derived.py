@@ -29,6 +29,26 @@ def test_clip(spark):
     assert P.area(C.from_wkt(next(t for i, t in got if i == 7))) == 25
 
 
+def test_near_parts_of_all_sizes(spark):
+    import random
+
+    r = random.Random(7)
+
+    def box():
+        size = r.choice([0.0, 0.003, 0.1, 0.5, 1.0, 7.0, 10.0, 60.0, 300.0])
+        x, y = round(r.uniform(-180, 180), 1), round(r.uniform(-90, 90), 1)
+        return x, y, x + size, y + size * r.choice([0.0, 0.1, 1.0])
+
+    features, parts = [box() for _ in range(150)], [box() for _ in range(150)]
+    names = "minx double, miny double, maxx double, maxy double"
+    rows = spark.createDataFrame([(i, *b) for i, b in enumerate(features)], f"osm_id int, {names}").select("osm_id", F.struct("minx", "miny", "maxx", "maxy").alias("_b"))
+    got = clip.near_parts(rows, spark.createDataFrame([(i, *b) for i, b in enumerate(parts)], f"part int, {names}"), ["osm_id"]).collect()
+    want = {(i, j) for i, a in enumerate(features) for j, b in enumerate(parts) if a[0] <= b[2] and a[2] >= b[0] and a[1] <= b[3] and a[3] >= b[1]}
+    assert want and len(got) == len(want) and {tuple(g) for g in got} == want
+    none = rows.where("false")
+    assert clip.near_parts(none, spark.createDataFrame([(1, *parts[0])], f"part int, {names}"), ["osm_id"]).count() == 0
+
+
 def test_clip_by_a_cut_area(spark):
     import math
 
