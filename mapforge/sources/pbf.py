@@ -12,6 +12,8 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -25,6 +27,11 @@ SCHEMAS = {
     "ways": "osm_id bigint, tags map<string,string>, refs array<bigint>",
     "relations": "osm_id bigint, tags map<string,string>, members array<struct<ref:bigint,type:string,role:string>>",
 }
+_TAGS = pa.map_(pa.string(), pa.string())
+_MEMBER = pa.struct([("ref", pa.int64()), ("type", pa.string()), ("role", pa.string())])
+_TYPES = {"osm_id": pa.int64(), "lon": pa.float64(), "lat": pa.float64(), "tags": _TAGS, "refs": pa.list_(pa.int64()), "members": pa.list_(_MEMBER)}
+#: The columns of each kind as Arrow holds them.
+ARROW = {kind: pa.schema([(c.split()[0], _TYPES[c.split()[0]]) for c in text.split(", ")]) for kind, text in SCHEMAS.items()}
 #: The format's own numbers of member types.
 MEMBER_TYPES = ("node", "way", "relation")
 #: Features of a file that a reader has to know to read it.
@@ -70,6 +77,20 @@ def packed(data: bytes, signed: bool = False) -> list[int]:
     return out
 
 
+def numbers(data: bytes, signed: bool = False) -> np.ndarray:
+    """packed() for long lists, all at once."""
+    raw = np.frombuffer(data, dtype=np.uint8)
+    if not len(raw):
+        return np.zeros(0, dtype=np.int64)
+    ends = np.flatnonzero(raw < 0x80)
+    if not len(ends) or ends[-1] != len(raw) - 1:
+        raise ValueError("a list ends within a number")
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    place = np.arange(len(raw)) - np.repeat(starts, ends - starts + 1)
+    v = np.add.reduceat((raw & 0x7F).astype(np.uint64) << (7 * np.minimum(place, 9)).astype(np.uint64), starts)
+    return (v >> np.uint64(1)).astype(np.int64) ^ -(v & np.uint64(1)).astype(np.int64) if signed else v.astype(np.int64)
+
+
 def _running(deltas: list[int]) -> list[int]:
     total, out = 0, []
     for d in deltas:
@@ -121,8 +142,8 @@ def check_header(block: bytes) -> None:
         raise ValueError(f"the file needs {sorted(needed - UNDERSTOOD)}")
 
 
-def rows_of(block: bytes, kind: str) -> Iterator[tuple]:
-    """The elements of one kind in a block."""
+def batches_of(block: bytes, kind: str) -> Iterator[pa.RecordBatch]:
+    """The elements of one kind in a block, a batch for each of its groups that has some."""
     strings: list[str] = []
     groups, grain, lat0, lon0 = [], 100, 0, 0
     for n, v in fields(block):
@@ -136,45 +157,55 @@ def rows_of(block: bytes, kind: str) -> Iterator[tuple]:
             lat0 = v - (1 << 64) if v >> 63 else v
         elif n == 20:
             lon0 = v - (1 << 64) if v >> 63 else v
-    place = lambda lon, lat: ((lon0 + grain * lon) / 1e9, (lat0 + grain * lat) / 1e9)
 
-    def point(osm_id: int, tags: dict[str, str], lon: int, lat: int) -> tuple | None:
-        x, y = place(lon, lat)
+    def tagged(found: dict[int, list]) -> list[tuple[str, str]]:
+        keys, values = (packed(b"".join(found.get(n, []))) for n in (2, 3))
+        return list({strings[k]: strings[v] for k, v in zip(keys, values, strict=True)}.items())
+
+    def points(ids: np.ndarray, lons: np.ndarray, lats: np.ndarray, tags: list[list] | None) -> Iterator[pa.RecordBatch]:
+        x, y = (lon0 + grain * lons) / 1e9, (lat0 + grain * lats) / 1e9
         if kind == "coords":
-            return osm_id, x, y
-        return (osm_id, tags, x, y) if tags else None
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(x), pa.array(y)], schema=ARROW[kind])
+        elif some := [i for i, t in enumerate(tags) if t]:
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array([tags[i] for i in some], type=_TAGS), pa.array(x[some]), pa.array(y[some])], schema=ARROW[kind])
 
-    def tagged(found: dict[int, list]) -> dict[str, str]:
-        keys, values = (packed(b"".join(found.get(n, []))) for n in (2, 3))
-        return {strings[k]: strings[v] for k, v in zip(keys, values, strict=True)}
+    def dense_tags(data: bytes, n: int) -> list[list]:
+        """Keys and values in turn, with a 0 after each node's last; no list at all where no node has tags."""
+        flat = iter(packed(data))
+        out = []
+        for _ in range(n if data else 0):
+            tags = {}
+            while k := next(flat, 0):
+                tags[strings[k]] = strings[next(flat)]
+            out.append(list(tags.items()))
+        return out
 
     for group in groups:
+        single, rows = [], []
         for n, v in fields(group):
             if n == 1 and kind in ("coords", "nodes"):
                 found = _listed(v)
-                row = point(_signed(found[1][0]), tagged(found), _signed(found[9][0]), _signed(found[8][0]))
-                if row:
-                    yield row
+                single.append((_signed(found[1][0]), _signed(found[9][0]), _signed(found[8][0]), tagged(found) if kind == "nodes" else []))
             elif n == 2 and kind in ("coords", "nodes"):
                 found = _listed(v)
-                ids, lats, lons = (_running(packed(b"".join(found.get(i, [])), signed=True)) for i in (1, 8, 9))
-                flat = iter(packed(b"".join(found.get(10, []))))
-                some = 10 in found
-                for osm_id, lat, lon in zip(ids, lats, lons, strict=True):
-                    tags = {}
-                    while some and (k := next(flat, 0)):
-                        tags[strings[k]] = strings[next(flat)]
-                    row = point(osm_id, tags, lon, lat)
-                    if row:
-                        yield row
+                ids, lats, lons = (np.cumsum(numbers(b"".join(found.get(i, [])), signed=True)) for i in (1, 8, 9))
+                if not len(ids) == len(lats) == len(lons):
+                    raise ValueError("nodes without a place")
+                if len(ids):
+                    yield from points(ids, lons, lats, dense_tags(b"".join(found.get(10, [])), len(ids)) if kind == "nodes" else None)
             elif n == 3 and kind == "ways":
                 found = _listed(v)
-                yield found[1][0], tagged(found), _running(packed(b"".join(found.get(8, [])), signed=True))
+                rows.append((found[1][0], tagged(found), _running(packed(b"".join(found.get(8, [])), signed=True))))
             elif n == 4 and kind == "relations":
                 found = _listed(v)
                 roles, types = (packed(b"".join(found.get(i, []))) for i in (8, 10))
                 refs = _running(packed(b"".join(found.get(9, [])), signed=True))
-                yield found[1][0], tagged(found), [(r, MEMBER_TYPES[t], strings[s]) for r, t, s in zip(refs, types, roles, strict=True)]
+                rows.append((found[1][0], tagged(found), [{"ref": r, "type": MEMBER_TYPES[t], "role": strings[s]} for r, t, s in zip(refs, types, roles, strict=True)]))
+        if single:
+            ids, lons, lats, tags = zip(*single, strict=True)
+            yield from points(np.array(ids, dtype=np.int64), np.array(lons, dtype=np.int64), np.array(lats, dtype=np.int64), list(tags))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), ARROW[kind], strict=True)], schema=ARROW[kind])
 
 
 def _listed(data: bytes) -> dict[int, list]:
@@ -216,11 +247,11 @@ class _Reader(DataSourceReader):
                 out.append(_Run(path, run))
         return out or [_Run(self.paths[0], [])]
 
-    def read(self, partition: _Run) -> Iterator[tuple]:
+    def read(self, partition: _Run) -> Iterator[pa.RecordBatch]:
         with open(partition.path, "rb") as f:
             for offset, length in partition.places:
                 f.seek(offset)
-                yield from rows_of(inflated(f.read(length)), self.kind)
+                yield from batches_of(inflated(f.read(length)), self.kind)
 
 
 class OsmPbf(DataSource):
@@ -248,23 +279,18 @@ def read_pbf_files(spark: SparkSession, paths: str | list[str]) -> Elements:
     files = spark.read.format("binaryFile").load(paths)
 
     def load(kind: str) -> DataFrame:
-        def run(batches):
-            import io
-
-            import pandas as pd
-
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for data in batch["content"]:
-                    f, rows = io.BytesIO(data), []
+                for data in batch.column(0):
+                    f = pa.BufferReader(data.as_buffer())
                     while head := f.read(4):
                         found = dict(fields(f.read(struct.unpack(">I", head)[0])))
                         block = inflated(f.read(found[3]))
                         if found[1] == b"OSMHeader":
                             check_header(block)
-                        else:
-                            rows = list(rows_of(block, kind))
-                            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMAS[kind].split(", ")])
+                        elif found[1] == b"OSMData":
+                            yield from batches_of(block, kind)
 
-        return files.select(F.col("content")).mapInPandas(run, SCHEMAS[kind])
+        return files.select(F.col("content")).mapInArrow(run, SCHEMAS[kind])
 
     return Elements(*(load(k) for k in ("coords", "nodes", "ways", "relations")))

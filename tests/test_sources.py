@@ -1,6 +1,7 @@
 """PBF against a writer of our own, limit areas against literal files."""
 
 import json
+import random
 import struct
 import zlib
 
@@ -66,6 +67,16 @@ def test_pbf(spark, path, read):
     assert [tuple(m) for m in rel["members"]] == [(11, "way", "outer"), (5, "node", "")] and rel["tags"] == {"type": "multipolygon"}
 
 
+def test_pbf_lists_of_numbers():
+    r = random.Random(3)
+    values = [0, 1, -1, (1 << 63) - 1, -(1 << 63), *[r.getrandbits(r.randint(1, 63)) * r.choice([1, -1]) for _ in range(500)]]
+    for data, signed in ((b"".join(map(zig, values)), True), (b"".join(varint(v & ((1 << 64) - 1)) for v in values), False)):
+        assert pbf.packed(data, signed) == pbf.numbers(data, signed).tolist() == values
+    assert pbf.numbers(b"").tolist() == []
+    with pytest.raises(ValueError):
+        pbf.numbers(b"\x01\x80")
+
+
 def test_pbf_refuses_what_it_does_not_know(tmp_path):
     with pytest.raises(ValueError):
         pbf.check_header(item(4, b"HistoricalInformation"))
