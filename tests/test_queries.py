@@ -47,3 +47,16 @@ def test_footways_are_chosen_by_tag(spark, monkeypatch):
     monkeypatch.setattr(bridge, "WAYS", bridge.WAYS.replace("WHEN 3 THEN 'footway' WHEN 4 THEN 'residential'", "WHEN 3 THEN 'residential' WHEN 4 THEN 'footway'"))
     got = QUERIES["footway_two_tables"](spark, SF).where("tbl = 'minorroads'").collect()
     assert got and {r["osm_id"] % 10 for r in got} == {4} and {r["v"] for r in got} == {"footway"}
+
+
+def test_generalized_where_is_asked_of_the_area_itself(spark, tmp_path):
+    """Rings whose area is a bit above 5000 (the sum's last digits), found at 60 times sf0.1 with shifted keys: rounded first, they would go."""
+    parts = {3: [4904637, 4909873, 4915060, 4919260, 4902866], 6: [2608297, 2617932, 2609756, 2605066, 2613059], 9: [1, 2, 3]}
+    lines = [(o, i, p) for o, ps in parts.items() for i, p in enumerate(ps)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(p,) for _, _, p in lines], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    c = duckdb.connect()
+    for t in ("lineitem", "part"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = c.sql(ORACLES["generalized_where"]).fetchall()
+    assert sorted(map(tuple, QUERIES["generalized_where"](spark, str(tmp_path)).collect())) == sorted(want) == [(3, 5000.0), (6, 5000.0)]
