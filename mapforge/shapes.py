@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bridge import _view
+from .bridge import _view, spread
 from .functions import geo
 from .geometry import planar
 from .operators import clip, derived, merging, multipolygon
@@ -23,7 +23,8 @@ LIMIT = (-40.5, -20.5, 61.5, 45.5)
 
 
 def _shapes(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return _view(spark, sf_dir, f"SELECT osm_id, {text} AS wkt FROM ({BOXES}) b").select("osm_id", "wkt", geo.from_text("wkt").alias("geometry"))
+    rows = spread(_view(spark, sf_dir, f"SELECT osm_id, {text} AS wkt FROM ({BOXES}) b"), "osm_id")
+    return rows.select("osm_id", "wkt", geo.from_text("wkt").alias("geometry"))
 
 
 def _limited(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

@@ -99,3 +99,30 @@ def test_functions(spark):
     assert [r[0] for r in bad.select(geo.st_area("g")).collect()] == [None, None]
     cell = rows.where("osm_id = 0").select(geo.z_cell(geo.st_bounds("geometry")).alias("z")).first()["z"]
     assert 0 <= cell < 1 << 24
+
+
+def test_only_invalid_polygons_are_rebuilt(spark, monkeypatch, tmp_path):
+    """repair_polygons rebuilds each invalid polygon once and no valid one, and deals its rows to all cores."""
+    from mapforge import shapes
+
+    n = 600
+    spark.range(1, n + 1).selectExpr("id AS c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    rebuilt = spark.sparkContext.accumulator(0)
+    tasks = shapes._shapes(spark, str(tmp_path), shapes.BOX_TEXT).select(F.spark_partition_id().alias("p")).distinct().count()
+    old = geo._buffer
+
+    def counted(g, width):
+        rebuilt.add(1)
+        return old(g, width)
+
+    def one(g):
+        import pandas as pd
+
+        return pd.Series([b if (v := C.from_wkb(b)) is None or P.is_valid(v) else counted(v, 0.0) for b in g], dtype=object)
+
+    assert tasks > 1
+    plan = derived.repaired(shapes._shapes(spark, str(tmp_path), shapes.BOX_TEXT))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # from text, and all of the repair
+    monkeypatch.setattr(geo, "mended", F.pandas_udf(one, "binary").asNondeterministic())
+    rows = shapes.repair_polygons(spark, str(tmp_path)).collect()
+    assert len(rows) == n and all(r["valid"] == 1 for r in rows) and rebuilt.value == n // 3
