@@ -7,9 +7,12 @@ that fits, so ``osm_`` never claims what lies under ``osm_new_``.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import parse_qsl, unquote_plus, urlsplit
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,9 +75,30 @@ def _names(spark: SparkSession, p: Prefixes, which: str) -> tuple[list[str], lis
 
 
 def _drop(spark: SparkSession, name: str) -> None:
-    for t in spark.catalog.listTables():
-        if t.name.lower() == name and not t.isTemporary:
-            spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} `{name}`")
+    own = f"`{spark.catalog.currentDatabase()}`.`{name}`"  # never a temporary view
+    if spark.catalog.tableExists(own):
+        spark.sql(f"DROP {'VIEW' if spark.catalog.getTable(own).tableType == 'VIEW' else 'TABLE'} {own}")
+
+
+def together(spark: SparkSession, steps: Sequence[Callable[[], object]], threads: int = 8) -> None:
+    """Run steps that don't need one another at the same time: one table's few tasks leave most cores idle.
+
+    After a failure no further step begins, and it is raised when those under way have ended.
+    """
+    failed: list[BaseException] = []
+
+    def run(step: Callable[[], object]) -> None:
+        if not failed:
+            try:
+                step()
+            except BaseException as x:
+                failed.append(x)
+
+    with ThreadPoolExecutor(threads) as pool:
+        for step in steps:
+            pool.submit(inheritable_thread_target(spark)(run), step)
+    if failed:
+        raise failed[0]
 
 
 def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -105,12 +129,15 @@ def create(spark: SparkSession, name: str, df: DataFrame, indexed: tuple[str, ..
 def optimize(spark: SparkSession, p: Prefixes = Prefixes()) -> list[str]:
     """Rewrite the import's tables in the order of their places and gather statistics."""
     tables = _names(spark, p, p.new)[0]
-    for t in tables:
+
+    def rewrite(t: str) -> None:
         df = spark.table(t)
         if "geometry" in df.columns:
             noted = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{t}`").collect() if r["key"] == "indexed"]
             create(spark, t, clustered(df), tuple(json.loads(noted[0])) if noted else ())
         spark.sql(f"ANALYZE TABLE `{t}` COMPUTE STATISTICS")
+
+    together(spark, [lambda t=t: rewrite(t) for t in tables])
     return tables
 
 

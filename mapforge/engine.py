@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import Prefixes, clustered, create, create_views
+from .catalog import Prefixes, clustered, create, create_views, together
 from .functions import geo
 from .geometry import codec
 from .mapping import MappingSet, node_tags, relation_tags, routes, way_tags
@@ -132,11 +132,9 @@ class Staging:
         target = Staging(self.spark, f"{self.root}__merging") if there and mode == "merge" else self
         if target is not self:
             e = merged([self.load(), e])
-        for kind in KINDS:
-            df = getattr(e, kind)
-            if kind == "ways" and "partial" not in df.columns:
-                df = df.withColumn("partial", F.lit(False))
-            df.write.mode("overwrite").parquet(target.path(kind))
+        if "partial" not in e.ways.columns:
+            e = replace(e, ways=e.ways.withColumn("partial", F.lit(False)))
+        together(self.spark, [lambda kind=kind: getattr(e, kind).write.mode("overwrite").parquet(target.path(kind)) for kind in KINDS])
         if target is not self:
             # At each moment one of the two folders is whole: see exists().
             files, root = self._files(self.root)
@@ -276,14 +274,19 @@ def write(spark: SparkSession, staging: Staging, m: MappingSet, o: Options = Opt
         return df
 
     try:
-        done = {}
-        for name, df in base_tables(staging.load(), m, o, keep_all).items():
-            create(spark, p.new + name, clustered(_mended(df, name, m)), _indexed(m, name))
-            done[name] = spark.table(p.new + name).select(*df.columns)
-        for g in derived.in_order(m.generalized, done):
-            df = _mended(derived.generalized(done[g.origin], g.tolerance, g.where), g.name, m)
-            create(spark, p.new + g.name, clustered(df), _indexed(m, g.name))
-            done[g.name] = spark.table(p.new + g.name).select(*df.columns)
+        done: dict[str, DataFrame] = {}
+
+        def make(tables: dict[str, DataFrame]) -> None:
+            """Write tables that are not made of one another."""
+            together(spark, [lambda n=name, df=_mended(df, name, m): create(spark, p.new + n, clustered(df), _indexed(m, n)) for name, df in tables.items()])
+            done.update({name: spark.table(p.new + name).select(*df.columns) for name, df in tables.items()})
+
+        make(base_tables(staging.load(), m, o, keep_all))
+        waiting = derived.in_order(m.generalized, done)
+        while waiting:
+            ready = [g for g in waiting if g.origin in done]
+            make({g.name: derived.generalized(done[g.origin], g.tolerance, g.where) for g in ready})
+            waiting = [g for g in waiting if g not in ready]
     finally:
         clean()
     return [p.new + n for n in done] + create_views(spark, m, p.new)

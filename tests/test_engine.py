@@ -194,3 +194,49 @@ def test_repair_of_a_base_table(spark, tmp_path):
     finally:
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_tables_are_written_at_the_same_time(spark, monkeypatch, tmp_path):
+    """An import's tables, and optimize's, don't wait for one another; a failed step ends the rest."""
+    import itertools
+    import threading
+
+    from mapforge import imports
+
+    m = MappingSet(tables=tuple(TableSpec(f"t{i}", "point", {"amenity": (v,)}) for i, v in enumerate(("school", "police"))))
+    staging, p = engine.Staging(spark, str(tmp_path / "staging")), catalog.Prefixes("both_new", "both_now", "both_old")
+    staging.save(imports.elements(spark, "/root/testdata/sf0.001"), m)
+    two, old = threading.Barrier(2, timeout=60), catalog.create
+
+    def waits(*rest):
+        two.wait()
+        old(*rest)
+
+    monkeypatch.setattr(catalog, "create", waits)
+    monkeypatch.setattr(engine, "create", waits)
+    try:
+        assert engine.write(spark, staging, m, p=p) == ["both_new_t0", "both_new_t1"]
+        assert catalog.optimize(spark, p) == ["both_new_t0", "both_new_t1"]
+        assert [spark.table(f"both_new_t{i}").count() for i in range(2)] == [50, 50]
+    finally:
+        catalog.remove(spark, p, p.new)
+    begun = itertools.count()
+
+    def fails():
+        next(begun)
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        catalog.together(spark, [fails] * 50, threads=1)
+    assert next(begun) == 1
+
+
+def test_a_temporary_view_is_not_dropped(spark):
+    spark.range(3).createOrReplaceTempView("kept_view")
+    catalog.create(spark, "kept_view", spark.range(2).toDF("x"))
+    try:
+        assert spark.table("kept_view").count() == 3
+    finally:
+        spark.catalog.dropTempView("kept_view")
+        catalog._drop(spark, "kept_view")
+    assert not spark.catalog.tableExists("kept_view")
