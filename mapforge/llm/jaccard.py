@@ -7,8 +7,9 @@ more index entries, and asks for more shared ones before a pair is verified; the
 the shingles' frequencies. A pair is verified if it shares as many prefix shingles as the smaller l of
 the two, by the exact intersection of whole sets.
 
-Frequencies come from a count sketch of 2^20 cells over all shingles of all documents (8 MB, whatever
-the input). They steer costs only: any order and any l gives the same links.
+Frequencies come from a count sketch of 2^24 cells over all shingles of all documents (16 MB, whatever
+the input). They steer costs only: any order and any l gives the same links. But where a cell has many shingles
+by chance, frequent ones pass for rare, lists grow long and candidates many: 2^20 cells were too few for 5 GB.
 
 Only components are asked for, so documents of equal sets are one node. Each list of a shingle compares
 its least node to all others first; lists are looked at again only where the others make up more than one
@@ -25,6 +26,7 @@ one; very long texts are hashed in pieces; no rows give no rows; other columns a
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
@@ -40,7 +42,7 @@ from .textkit import BITS, Words, bitmap, is_set, mix, runs, slices
 if TYPE_CHECKING:
     import pandas as pd
 
-CELL_BITS, CHUNK_BITS = 20, 10
+CELL_BITS, CHUNK_BITS = 24, 14
 _MOST_L = 6
 #: Lists with more entries are compared in blocks of about BLOCK a side, shorter ones pair by pair.
 LONG, BLOCK = 64, 512
@@ -69,40 +71,50 @@ def _named(found: np.ndarray) -> int:
 
 
 def sketch(documents: DataFrame, k: int) -> np.ndarray:
-    """Occurrences of all shingles by the upper bits of their hash; tasks' counts are added chunk by chunk."""
+    """How often the shingles of each cell (the upper bits of their hash) occur, above what a cell has by chance: 4 * log2 of it, a byte each.
+
+    Tasks' counts are added chunk by chunk. The median of a chunk's cells stands for chance: most shingles are rare.
+    """
     n_chunks, width = 1 << (CELL_BITS - CHUNK_BITS), 1 << CHUNK_BITS
+    kind = "chunk int, cells binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, total = np.zeros(1 << CELL_BITS, dtype=np.int32), 0
+        cells, total = np.zeros(1 << CELL_BITS, dtype=np.uint32), 0
         for piece in slices(batches, "text"):
-            found = [s for s in _shingles(piece.column(0), k) if len(s)]
-            if found:
-                more = sum(map(len, found))
-                if total and total + more >= 1 << 31:
-                    yield chunks(cells.reshape(n_chunks, width), np.arange(n_chunks))
-                    cells, total = np.zeros(1 << CELL_BITS, dtype=np.int32), 0
-                cells += np.bincount((np.concatenate(found) >> np.uint64(64 - CELL_BITS)).astype(np.int32), minlength=1 << CELL_BITS).astype(np.int32)
-                total += more
+            for found in _shingles(piece.column(0), k):
+                if total + len(found) >= 1 << 32:
+                    yield from chunks(cells)
+                    cells, total = np.zeros(1 << CELL_BITS, dtype=np.uint32), 0
+                np.add.at(cells, (found >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.uint32(1))
+                total += len(found)
         if total:
-            yield chunks(cells.reshape(n_chunks, width), np.arange(n_chunks))
+            yield from chunks(cells)
 
-    def chunks(rows: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width), pa.array(rows.ravel()))
-        return pa.RecordBatch.from_arrays([pa.array(at, type=pa.int32()), flat], names=["chunk", "cells"])
+    def chunks(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Counts by their bytes, lowest first, as many as the largest needs; packed, as most are 0."""
+        for at in range(0, n_chunks, 64):
+            rows = []
+            for c, row in enumerate(cells.reshape(n_chunks, width)[at : at + 64], at):
+                if most := int(row.max()):
+                    rows.append((c, zlib.compress(row.astype("<u4").view(np.uint8).reshape(width, 4)[:, : (most.bit_length() + 7) // 8].T.tobytes(), 1)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], type=pa.int32()), pa.array([b for _, b in rows], type=pa.binary())], names=["chunk", "cells"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            values = batch.column(1).flatten().to_numpy().reshape(-1, width)
-            for c, row in zip(batch.column(0).to_pylist(), values, strict=True):
-                sums[c] = sums[c] + row if c in sums else row.astype(np.int64)
+            for c, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                row = sums.setdefault(c, np.zeros(width, dtype=np.int64))
+                for i, part in enumerate(np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(-1, width)):
+                    row += part.astype(np.int64) << (8 * i)
         if sums:
-            yield chunks(np.stack(list(sums.values())), np.array(list(sums)))
+            logs = [np.round(4 * np.log2(np.maximum(row - np.median(row), 1))).astype(np.uint8).tobytes() for row in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.int32()), pa.array(logs, type=pa.binary())], names=["chunk", "cells"])
 
-    parts = documents.select("text").mapInArrow(count, "chunk int, cells array<int>").repartition("chunk").mapInArrow(add, "chunk int, cells array<long>")
-    out = np.zeros((n_chunks, width), dtype=np.int64)
+    parts = documents.select("text").mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind)
+    out = np.zeros((n_chunks, width), dtype=np.uint8)
     for r in parts.collect():  # n_chunks rows
-        out[r["chunk"]] = r["cells"]
+        out[r["chunk"]] = np.frombuffer(r["cells"], dtype=np.uint8)
     return out.ravel()
 
 
@@ -114,7 +126,6 @@ def _least(n, percent: int):
 def heads(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> tuple[DataFrame, int]:
     """(doc_id, text_hash, n, node, l, prefix) of every document, as a table, and how many they are."""
     shared = documents.sparkSession.sparkContext.broadcast(cells)
-    noise = float(cells.sum()) / len(cells)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("l", pa.int32()), ("prefix", pa.list_(pa.int64()))])
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,8 +138,9 @@ def heads(documents: DataFrame, k: int, percent: int, cells: np.ndarray) -> tupl
                 if not n:
                     rows.append((doc_id, text_hash, 0, None, None, None))
                     continue
-                often = np.maximum(counts[(found >> np.uint64(64 - CELL_BITS)).astype(np.int64)] - noise, 1.0)
-                order = np.lexsort((found, np.log2(often).astype(np.int64)))
+                logs = counts[(found >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                often = np.exp2(logs / 4)
+                order = np.lexsort((found, logs // 4))
                 least = int(_least(n, percent))
                 base = n - least
                 upto = np.cumsum(often[order[: base + min(_MOST_L, least)]])
@@ -288,8 +300,11 @@ def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: in
     # 2. Lists whose other members still are in several components.
     others = with_part(others.where("m > 2").select("shingle", "node", "n", "m"), parts, "node", "part")
     others, seen = measured(others, "jaccard-others")
+    dropped(entries)
+    free_shuffles(docs.sparkSession)
     crossing = others.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo < hi").select("shingle", "rows", F.lit(True).alias("open"))
     others, left = measured(lookup(others, crossing, "shingle", "rows", seen["n"]).where("open").drop("open"), "jaccard-open", F.max("m").alias("longest"))
+    free_shuffles(docs.sparkSession)
     if left["n"]:
         # Short ones: all pairs across components, at most LONG / 2 an entry.
         rest = others.where(F.col("m") <= LONG)
@@ -297,6 +312,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: in
         y = rest.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("part").alias("cb"))
         pairs = x.join(y, "shingle").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike(F.col("na"), F.col("nb"))).select("a", "b")
         again = candidates(pairs.distinct().join(met.select("a", "b"), ["a", "b"], "left_anti"))
+        free_shuffles(docs.sparkSession)
         wanted, members = ends(again), None
         if left["longest"] > LONG:
             # Long ones, in blocks: those that are some node's longest, and those whose members have several such lists.

@@ -452,6 +452,19 @@ def test_jaccard_edges(spark, docs_of):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
 
 
+def test_jaccard_prefixes_are_rare(spark, docs_of):
+    """Among millions of shingles, those of four documents do not pass for rare: each document has enough of its own."""
+    rng = np.random.default_rng(8)
+    own, passages = rng.integers(0, 1 << 40, (1000, 2100)), rng.integers(0, 1 << 40, (250, 900))
+    rows = [(i, " ".join(f"{x:x}" for x in np.concatenate([own[i], passages[i // 4]]).tolist())) for i in range(1000)]
+    docs = docs_of(rows).repartition(4).select("doc_id", "text")
+    with runtime.temporary(spark):
+        head, total = jaccard.heads(docs, 3, 90, jaccard.sketch(docs, 3))
+        often = head.selectExpr("explode(prefix) AS shingle").groupBy("shingle").count()
+        assert total == 1000
+        assert often.where("count > 1").count() == 0
+
+
 def test_deduplicated_tells_rows_apart(spark, docs_of):
     """Null and repeated ids with unequal texts: one row of each component, all empty ones of null ids."""
     a, b, c, d = ("a1 a2 a3 a4 a5 a6", "b1 b2 b3 b4 b5 b6", "c1 c2 c3 c4 c5 c6", "d1 d2 d3 d4 d5 d6")
