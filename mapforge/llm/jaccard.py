@@ -250,6 +250,8 @@ def _linked(docs: DataFrame, nodes: DataFrame, n_nodes: int, k: int, percent: in
     lists = entries.groupBy("shingle").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
     lists, seen = measured(lists, "jaccard-shingles", F.sum("m").alias("entries"))
     free_shuffles(docs.sparkSession)
+    # Most shingles are in one set alone; their entries need not be shuffled again.
+    entries = maybe_among(entries, lists, "shingle", "shared").where("shared").drop("shared")
     entries = lookup(entries, lists.withColumn("rows", F.col("m")), "shingle", "rows", seen["entries"] or 0).where("rep IS NOT NULL")
     entries = written(entries, "jaccard-lists")
     dropped(lists)
